@@ -17,7 +17,7 @@ from duskwatch.operators.relational import (
     distinct_columns,
     with_surrogate_ids,
 )
-from duskwatch.plans.evidence import users_of
+from duskwatch.operators.evidence import users_of
 from duskwatch.sources.tables import get_table, read_path, sql_over_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -218,9 +218,9 @@ def filter_all_null(spark, directory):
     return dw.filter_rows_with_all_null(_sparse(spark, directory), ["event_type", "value"])
 
 
-@check("SELECT * FROM part WHERE regexp_matches(p_name, '^a')")
+@check("SELECT * FROM part WHERE regexp_matches(p_name, '^red|ring$')")
 def filter_pattern(spark, directory):
-    return dw.filter_column_by_string_pattern(table(spark, directory, "part"), "p_name", "^a")
+    return dw.filter_column_by_string_pattern(table(spark, directory, "part"), "p_name", "^red|ring$")
 
 
 @check("""
@@ -301,22 +301,17 @@ def join_lookup(spark, directory):
 
 
 @check("""
-    SELECT CAST(u.user_id AS VARCHAR) AS "user", min(c.c_custkey) AS directory_id
-    FROM (SELECT DISTINCT user_id FROM events) u
-    LEFT JOIN customer c ON u.user_id = c.c_custkey AND c.c_acctbal < 0
-    GROUP BY 1
-    HAVING min(c.c_custkey) IS NULL
+    SELECT DISTINCT CAST(e.user_id AS VARCHAR) AS "user"
+    FROM events e
+    WHERE NOT EXISTS (
+      SELECT 1 FROM customer c WHERE c.c_custkey = e.user_id AND c.c_acctbal >= 0
+    )
 """)
 def join_unknown_entities(spark, directory):
-    """Entities that the directory does not know (here: accounts in the red)."""
-    entities = users_of(table(spark, directory, "events"), "user_id")
-    directory_rows = (
-        table(spark, directory, "customer")
-        .where("c_acctbal < 0")
-        .select(F.col("c_custkey").cast("string").alias("user"), "c_custkey")
-    )
-    lookup = directory_rows.groupBy("user").agg(F.min("c_custkey").alias("directory_id"))
-    return entities.join(lookup, "user", "left").where("directory_id IS NULL")
+    """Entities missing from a directory (here: of the accounts that are not in the red)."""
+    accounts = table(spark, directory, "customer").where("c_acctbal >= 0")
+    known = users_of(accounts, "c_custkey")
+    return users_of(table(spark, directory, "events"), "user_id").join(known, "user", "left_anti")
 
 
 @check("SELECT user_id, min(ts) AS min_time, max(ts) AS max_time FROM events GROUP BY user_id")

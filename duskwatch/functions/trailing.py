@@ -16,15 +16,20 @@ than two chunks of one key: at most 2 * R rows, since points are unique per seco
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import DataFrame
 
-_ECHO, _AT, _CHUNK = "__echo", "__at", "__chunk"
+_TAGS = ("__echo", "__at", "__chunk")
+
+
+def quoted(name: str) -> str:
+    """A column name as SQL text, whatever characters it contains."""
+    return "`" + name.replace("`", "``") + "`"
 
 
 def with_trailing_sums(
-    points: DataFrame, keys: Sequence[str], second: str, reach: int, sums: dict[str, str]
+    points: DataFrame, keys: Sequence[str], second: str, reach: int, sums: Mapping[str, str]
 ) -> DataFrame:
     """Add, for each ``new: column`` of ``sums``, the sum of ``column`` over ``[t-reach, t]``.
 
@@ -32,28 +37,31 @@ def with_trailing_sums(
     summed columns must not be null.  A point without a time sees only itself.
     """
     if reach == 0:
-        return points.withColumns({new: F.col(old) for new, old in sums.items()})
-
-    here = F.struct(F.lit(False).alias(_ECHO), F.col(second).alias(_AT))
-    later = F.struct(F.lit(True).alias(_ECHO), (F.col(second) + F.lit(reach)).alias(_AT))
-    copies = F.when(F.col(second).isNull(), F.array(here)).otherwise(F.array(here, later))
+        return points.selectExpr(
+            "*", *[f"{quoted(old)} AS {quoted(new)}" for new, old in sums.items()]
+        )
 
-    needed_by_echo = {*keys, *sums.values()}
-    spread = points.select("*", F.inline(copies)).select(
-        _ECHO,
-        _AT,
-        (F.col(_AT) - F.pmod(_AT, F.lit(reach))).alias(_CHUNK),
+    t, key_list = quoted(second), ", ".join(quoted(k) for k in keys)
+    here = f"named_struct('__echo', false, '__at', {t})"
+    later = f"named_struct('__echo', true, '__at', {t} + {reach})"
+    carried_by_echo = {*keys, *sums.values()}
+    spread = points.selectExpr(
+        "*", f"inline(if({t} IS NULL, array({here}), array({here}, {later})))"
+    ).selectExpr(
+        "__echo",
+        "__at",
+        f"__at - pmod(__at, {reach}) AS __chunk",
         *[
-            F.col(c) if c in needed_by_echo else F.when(~F.col(_ECHO), F.col(c)).alias(c)
+            quoted(c) if c in carried_by_echo else f"if(__echo, null, {quoted(c)}) AS {quoted(c)}"
             for c in points.columns
         ],
     )
 
-    chunk = Window.partitionBy(*keys, _CHUNK)
-    since_start, still_in_reach = chunk.orderBy(_AT), chunk.orderBy(F.desc(_AT))
-    total = {}
-    for new, old in sums.items():
-        own = F.sum(F.when(~F.col(_ECHO), F.col(old))).over(since_start)
-        previous = F.sum(F.when(F.col(_ECHO), F.col(old))).over(still_in_reach)
-        total[new] = own + F.coalesce(previous, F.lit(0))
-    return spread.withColumns(total).where(~F.col(_ECHO)).drop(_ECHO, _AT, _CHUNK)
+    chunk = f"PARTITION BY {key_list}, __chunk ORDER BY __at"
+    totals = [
+        f"sum(if(__echo, null, {quoted(old)})) OVER ({chunk})"
+        f" + coalesce(sum(if(__echo, {quoted(old)}, null)) OVER ({chunk} DESC), 0)"
+        f" AS {quoted(new)}"
+        for new, old in sums.items()
+    ]
+    return spread.selectExpr("*", *totals).where("NOT __echo").drop(*_TAGS)

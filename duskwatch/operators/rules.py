@@ -14,9 +14,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from duskwatch.functions.clock import AsOf, checked_unit, epoch_seconds, wall_clock
 from duskwatch.functions.literals import column_type
 from duskwatch.functions.predicates import equals
-from duskwatch.functions.trailing import with_trailing_sums
-
-_SECOND, _BUCKET, _VOLUME = "__second", "__bucket", "__volume"
+from duskwatch.functions.trailing import quoted, with_trailing_sums
 
 
 def _volume(value_column: str | None) -> Column:
@@ -139,43 +137,43 @@ def trending_based_rule(
         raise ValueError("ranges are offsets into the past: give zero or negative seconds")
 
     dtype = column_type(df, timestamp_column)
-    totals = df.groupBy(partition_column, timestamp_column).agg(_volume(count_column).alias(_VOLUME))
+    totals = df.groupBy(partition_column, timestamp_column).agg(_volume(count_column).alias("__volume"))
 
     # Frames only see whole seconds, so one row per second carries all they need and bounds
     # a day of the busiest entity to 86 400 rows.
+    ts, entity = quoted(timestamp_column), quoted(partition_column)
     per_second = totals.groupBy(
-        partition_column, epoch_seconds(F.col(timestamp_column), dtype).alias(_SECOND)
+        partition_column, epoch_seconds(F.col(timestamp_column), dtype).alias("__second")
     ).agg(
         F.min(timestamp_column).alias("__first"),
         F.max(timestamp_column).alias("__last"),
-        F.when(F.count(timestamp_column) == 0, F.max(_VOLUME))
-        .otherwise(F.min_by(_VOLUME, timestamp_column))
-        .alias("__first_volume"),
-        F.coalesce(F.sum(_VOLUME), F.lit(0)).alias("__sum"),
-        F.count(_VOLUME).alias("__n"),
+        F.expr(f"if(count({ts}) = 0, max(__volume), min_by(__volume, {ts}))").alias("__at_first"),
+        F.expr("coalesce(sum(__volume), 0)").alias("__sum"),
+        F.count("__volume").alias("__n"),
     )
 
     keys = [partition_column]
     short = with_trailing_sums(
-        per_second, keys, _SECOND, -int(hour_range), {"__short_sum": "__sum", "__short_n": "__n"}
+        per_second, keys, "__second", -int(hour_range), {"__short_sum": "__sum", "__short_n": "__n"}
     )
     both = with_trailing_sums(
-        short, keys, _SECOND, -int(day_range), {"__long_sum": "__sum", "__long_n": "__n"}
+        short, keys, "__second", -int(day_range), {"__long_sum": "__sum", "__long_n": "__n"}
     )
-    short_average = F.try_divide("__short_sum", "__short_n")
-    long_average = F.try_divide("__long_sum", "__long_n")
-    rising = both.select(
-        partition_column, _SECOND, "__first", "__last", "__first_volume",
-        short_average.alias("__short"), long_average.alias("__long"),
+    rising = both.selectExpr(
+        entity,
+        f"coalesce(__second, {-(2**63)}) AS __second",
+        "__first",
+        "__last",
+        "__at_first",
+        "try_divide(__short_sum, __short_n) AS __short",
+        "try_divide(__long_sum, __long_n) AS __long",
     ).where(F.col("__short") > F.col("__long") * F.lit(float(ratio_threshold)))
-
-    order = F.coalesce(_SECOND, F.lit(-(2**63)).cast("bigint"))
     return rising.groupBy(partition_column).agg(
         F.min("__first").alias("min_timestamp"),
         F.max("__last").alias("max_timestamp"),
-        F.min_by("__first_volume", order).alias("sum_count"),
-        F.min_by("__short", order).alias("hour_avg"),
-        F.min_by("__long", order).alias("day_avg"),
+        F.min_by("__at_first", "__second").alias("sum_count"),
+        F.min_by("__short", "__second").alias("hour_avg"),
+        F.min_by("__long", "__second").alias("day_avg"),
     )
 
 
@@ -204,12 +202,12 @@ def statistically_significant_window_by_std(
     mean, deviation, windows = f"{before}_mean", f"{before}_std", f"no_{window}_with_events"
 
     per_window = df.groupBy(
-        comparative_column, F.date_trunc(unit, F.col(timestamp_column)).alias(_BUCKET)
-    ).agg(_volume(count_column).alias(_VOLUME))
+        comparative_column, F.date_trunc(unit, F.col(timestamp_column)).alias("__bucket")
+    ).agg(_volume(count_column).alias("__volume"))
 
-    volume = F.col(_VOLUME)
-    now_volume = F.when(F.col(_BUCKET) == now, volume).otherwise(0)
-    past_volume = F.when(F.col(_BUCKET) < now, volume).otherwise(0)
+    volume = F.col("__volume")
+    now_volume = F.when(F.col("__bucket") == now, volume).otherwise(0)
+    past_volume = F.when(F.col("__bucket") < now, volume).otherwise(0)
     profile = per_window.groupBy(comparative_column).agg(
         F.sum(now_volume).alias(current),
         F.avg(past_volume).alias(mean),

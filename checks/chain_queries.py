@@ -62,10 +62,10 @@ _LOGS = {
 }
 
 
-def _log(spark: SparkSession, directory: str, name: str) -> DataFrame:
+def _log(events: DataFrame, name: str) -> DataFrame:
     kind, columns = _LOGS[name]
-    events = table(spark, directory, "events").withColumn("user_id", F.col("user_id").cast("string"))
-    return events.where(F.col("event_type") == kind).selectExpr(*columns)
+    of_kind = events.where(F.col("event_type") == kind)
+    return of_kind.withColumn("user_id", F.col("user_id").cast("string")).selectExpr(*columns)
 
 
 def _log_sql(name: str) -> str:
@@ -77,16 +77,12 @@ def _log_sql(name: str) -> str:
     )
 
 
-def _customers(spark: SparkSession, directory: str, *columns: str) -> DataFrame:
-    return table(spark, directory, "customer").selectExpr(*columns)
-
-
 def _tables(spark: SparkSession, directory: str) -> SecurityTables:
-    customers = partial(_customers, spark, directory)
-    solvent = table(spark, directory, "customer").where("c_acctbal >= 0")
+    events, customers = table(spark, directory, "events"), table(spark, directory, "customer")
+    solvent = customers.where("c_acctbal >= 0")
     return SecurityTables(
-        **{name: _log(spark, directory, name) for name in _LOGS},
-        workday=customers(
+        **{name: _log(events, name) for name in _LOGS},
+        workday=customers.selectExpr(
             "CAST(c_custkey AS STRING) AS employee", "c_mktsegment AS department", "c_name AS title"
         ),
         users=solvent.selectExpr("CAST(c_custkey AS STRING) AS Username", "c_name AS ID"),
@@ -198,7 +194,7 @@ def check(sql: str):
 
 @check(_COMMON + "SELECT * FROM footprint")
 def evidence_footprint(spark, directory):
-    logins = _log(spark, directory, "user_logins")
+    logins = _tables(spark, directory).user_logins
     return evidence.entity_footprint(logins, _flagged(spark, directory), AS_OF)
 
 
@@ -227,7 +223,7 @@ def evidence_antivirus_as_written(spark, directory):
 @check(_COMMON + "SELECT * FROM dlp_rated")
 def evidence_dlp(spark, directory):
     flagged = _flagged(spark, directory)
-    return evidence.dlp_risk(flagged, _log(spark, directory, "dlp"), AS_OF, DLP_TIERS)
+    return evidence.dlp_risk(flagged, _tables(spark, directory).dlp, AS_OF, DLP_TIERS)
 
 
 @check(_COMMON + "SELECT * FROM url")

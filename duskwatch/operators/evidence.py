@@ -1,6 +1,9 @@
 """Evidence about flagged users, for all of them at once.
 
-Each function takes ``flagged``, one row per ``user``, and returns one row per flagged user.
+``flagged`` holds one row per ``user``.  For every log there are three functions: ``*_counts``
+reduces the log to one row per user that has evidence, ``rate_*`` turns counts into a risk, and
+``*_risk`` does both for each flagged user.
+
 Logs are reduced to one row per user, host or address *before* they meet the flagged set, so
 a noisy host is a single row by the time it is joined.  The semi-joins sit above those
 reductions: when the flagged side is small enough to broadcast, Spark moves them below, and
@@ -9,7 +12,9 @@ the reduction then only sees rows that matter.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from collections.abc import Sequence
+
+from pyspark.sql import DataFrame, functions as F
 
 from duskwatch.functions.clock import AsOf
 from duskwatch.operators.filters import filter_by_relative_time
@@ -43,170 +48,198 @@ URL_TIERS: Tiers = (
 )
 
 
-def tier_of(tiers: Tiers, only_if: str = "TRUE") -> Column:
-    """First tier whose condition holds, null when none does or ``only_if`` fails."""
-    chosen = F.lit(None).cast("string")
-    for tier, condition in reversed(tiers):
-        chosen = F.when(F.expr(condition), F.lit(tier)).otherwise(chosen)
-    return F.when(F.expr(only_if), chosen)
+def tier_of(tiers: Tiers, only_if: str = "TRUE") -> str:
+    """SQL for the first tier whose condition holds; null when none does or ``only_if`` fails."""
+    cases = " ".join(f"WHEN ({only_if}) AND ({condition}) THEN '{tier}'" for tier, condition in tiers)
+    return f"CASE {cases} END"
 
 
 def users_of(df: DataFrame, column: str = USER) -> DataFrame:
     """Distinct non-null entities of a column, as ``user``."""
-    return df.select(F.col(column).cast("string").alias(USER)).where(f"`{USER}` IS NOT NULL").distinct()
+    return df.select(F.col(column).cast("string").alias(USER)).dropna().distinct()
+
+
+def attach(flagged: DataFrame, per_user: DataFrame) -> DataFrame:
+    """Every flagged user with their row of ``per_user``, or nulls."""
+    return flagged.join(per_user, USER, "left")
 
 
 def _recent(log: DataFrame, time_column: str, as_of: AsOf) -> DataFrame:
     return filter_by_relative_time(log, days=LOOKBACK_DAYS, time_column=time_column, as_of=as_of)
 
 
-def _zero_if_absent(*columns: str) -> dict[str, Column]:
-    return {c: F.coalesce(c, F.lit(0)).cast("bigint") for c in columns}
+def _pairs(footprint: DataFrame, column: str, name: str) -> DataFrame:
+    return footprint.selectExpr(f"`{USER}`", f"{column} AS {name}").distinct()
+
 
+def _replaced(df: DataFrame, changed: Sequence[str], *expressions: str) -> DataFrame:
+    """``df`` with the ``changed`` columns dropped and SQL ``expressions`` put at the end."""
+    kept = [f"`{c}`" for c in df.columns if c not in changed]
+    return df.selectExpr(*kept, *expressions)
+
+
+# --- who and where -------------------------------------------------------------------------
 
 def entity_footprint(logins: DataFrame, flagged: DataFrame, as_of: AsOf = None) -> DataFrame:
     """Distinct (user, dest_hostname, src_ip) of the flagged users' recent logins."""
-    seen = (
-        _recent(logins, "date", as_of)
-        .select(F.col("user_id").alias(USER), "dest_hostname", "src_ip")
-        .distinct()
+    seen = _recent(logins, "date", as_of).selectExpr(
+        f"user_id AS `{USER}`", "dest_hostname", "src_ip"
+    )
+    return seen.distinct().join(flagged.select(USER), USER, "left_semi")
+
+
+def staff_profiles(workday: DataFrame) -> DataFrame:
+    """One post per employee: the smallest where there are several, or users would repeat."""
+    posts = workday.groupBy(F.col("employee").alias(USER)).agg(
+        F.expr("min(struct(department, title)) AS post")
     )
-    return seen.join(flagged.select(USER), USER, "left_semi")
+    return posts.select(USER, "post.department", "post.title")
 
 
 def entity_profile(flagged: DataFrame, workday: DataFrame) -> DataFrame:
     """Department and title of every flagged user; null for users unknown to HR."""
-    # One row per employee, the smallest where there are several, or the join would repeat users.
-    staff = workday.groupBy(F.col("employee").alias(USER)).agg(
-        F.min(F.struct("department", "title")).alias("post")
-    )
-    return flagged.select(USER).join(staff, USER, "left").select(USER, "post.department", "post.title")
+    return attach(flagged.select(USER), staff_profiles(workday))
 
 
-def antivirus_risk(
-    flagged: DataFrame,
-    footprint: DataFrame,
-    antivirus: DataFrame,
-    as_of: AsOf = None,
-    tiers: Tiers = AV_TIERS,
-) -> DataFrame:
-    """Malware detected, cleaned and not cleaned on the user's hosts, and the risk tier.
+# --- antivirus -----------------------------------------------------------------------------
 
-    Without hosts all counts are null; with hosts but without detections only the risk is.
-    """
-    counts = ["av_events", "av_detected", "av_cleaned", "av_failed"]
-    hosts = footprint.select(USER, F.col("dest_hostname").alias("hostname")).distinct()
-    kind = F.col("event_type")
+AV_COUNTS = ("av_events", "av_detected", "av_cleaned", "av_failed")
+
+
+def antivirus_counts(footprint: DataFrame, antivirus: DataFrame, as_of: AsOf = None) -> DataFrame:
+    """Antivirus events on each user's hosts, by outcome.  Users without hosts have no row."""
+    hosts = _pairs(footprint, "dest_hostname", "hostname")
     per_host = (
         _recent(antivirus, "time", as_of)
         .groupBy("hostname")
         .agg(
-            F.count(F.lit(1)).alias("av_events"),
-            F.count_if(kind == schemas.MALWARE_DETECTED).alias("av_detected"),
-            F.count_if(kind == schemas.MALWARE_ACTION_TAKEN).alias("av_cleaned"),
-            F.count_if(kind == schemas.MALWARE_ACTION_FAILED).alias("av_failed"),
+            F.expr("count(1) AS av_events"),
+            F.expr(f"count_if(event_type = '{schemas.MALWARE_DETECTED}') AS av_detected"),
+            F.expr(f"count_if(event_type = '{schemas.MALWARE_ACTION_TAKEN}') AS av_cleaned"),
+            F.expr(f"count_if(event_type = '{schemas.MALWARE_ACTION_FAILED}') AS av_failed"),
         )
-        .join(hosts.select("hostname"), "hostname", "left_semi")
+        .join(footprint.selectExpr("dest_hostname AS hostname"), "hostname", "left_semi")
     )
-    per_user = (
-        hosts.join(per_host, "hostname", "left")
-        .groupBy(USER)
-        .agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in counts])
-    )
-    message = (
-        F.when(F.col("av_events").isNull(), F.lit("no host known for this user"))
-        .when(F.col("av_events") == 0, F.lit("no antivirus activity on the user's hosts"))
-        .when(F.col("av_detected") == 0, F.lit("antivirus activity without detections"))
-        .otherwise(
-            F.format_string(
-                "%d detections, %d cleaned, %d not cleaned", "av_detected", "av_cleaned", "av_failed"
-            )
-        )
-    )
-    return (
-        flagged.select(USER)
-        .join(per_user, USER, "left")
-        .withColumn("av_risk", tier_of(tiers, "av_detected > 0"))
-        .withColumn("av_message", message)
+    totals = [F.expr(f"coalesce(sum({c}), 0) AS {c}") for c in AV_COUNTS]
+    return hosts.join(per_host, "hostname", "left").groupBy(USER).agg(*totals)
+
+
+def rate_antivirus(counted: DataFrame, tiers: Tiers = AV_TIERS) -> DataFrame:
+    """Add ``av_risk`` and ``av_message``; no detection, or no known host, is no risk."""
+    return counted.selectExpr(
+        "*",
+        f"{tier_of(tiers, 'av_detected > 0')} AS av_risk",
+        """CASE WHEN av_events IS NULL THEN 'no host known for this user'
+                WHEN av_events = 0 THEN "no antivirus activity on the user's hosts"
+                WHEN av_detected = 0 THEN 'antivirus activity without detections'
+                ELSE concat(av_detected, ' detections, ', av_cleaned, ' cleaned, ',
+                            av_failed, ' not cleaned') END AS av_message""",
     )
 
 
-def dlp_risk(
-    flagged: DataFrame, dlp: DataFrame, as_of: AsOf = None, tiers: Tiers = DLP_TIERS
+def antivirus_risk(
+    flagged: DataFrame,
+    footprint: DataFrame,
+    antivirus: DataFrame,
+    as_of: AsOf = None,
+    tiers: Tiers = AV_TIERS,
 ) -> DataFrame:
-    """Data-loss events of the user that were let through, by severity, and the risk tier."""
-    counts = ["dlp_high", "dlp_medium", "dlp_low"]
-    level = F.col("risk")
-    per_user = (
+    """Malware detected, cleaned and not cleaned on each flagged user's hosts, and the risk."""
+    counts = antivirus_counts(footprint, antivirus, as_of)
+    return rate_antivirus(attach(flagged.select(USER), counts), tiers)
+
+
+# --- data loss -----------------------------------------------------------------------------
+
+DLP_COUNTS = ("dlp_high", "dlp_medium", "dlp_low")
+
+
+def dlp_counts(flagged: DataFrame, dlp: DataFrame, as_of: AsOf = None) -> DataFrame:
+    """Data-loss events that were let through, per user and severity."""
+    return (
         _recent(dlp, "timestamp", as_of)
         .where(F.col("action") == schemas.DLP_ALLOWED)
         .groupBy(USER)
         .agg(
-            F.count_if(level == "High").alias("dlp_high"),
-            F.count_if(level == "Medium").alias("dlp_medium"),
-            F.count_if(level == "Low").alias("dlp_low"),
+            F.expr("count_if(risk = 'High') AS dlp_high"),
+            F.expr("count_if(risk = 'Medium') AS dlp_medium"),
+            F.expr("count_if(risk = 'Low') AS dlp_low"),
         )
         .join(flagged.select(USER), USER, "left_semi")
     )
-    message = F.format_string(
-        "let through: %d high, %d medium, %d low", "dlp_high", "dlp_medium", "dlp_low"
-    )
-    return (
-        flagged.select(USER)
-        .join(per_user, USER, "left")
-        .withColumns(_zero_if_absent(*counts))
-        .withColumn("dlp_risk", tier_of(tiers))
-        .withColumn("dlp_message", message)
+
+
+def rate_dlp(counted: DataFrame, tiers: Tiers = DLP_TIERS) -> DataFrame:
+    """Add ``dlp_risk`` and ``dlp_message``; missing counts become zero."""
+    filled = _replaced(counted, DLP_COUNTS, *[f"coalesce({c}, 0L) AS {c}" for c in DLP_COUNTS])
+    return filled.selectExpr(
+        "*",
+        f"{tier_of(tiers)} AS dlp_risk",
+        "concat('let through: ', dlp_high, ' high, ', dlp_medium, ' medium, ', dlp_low, ' low')"
+        " AS dlp_message",
     )
 
 
-def url_risk(
-    flagged: DataFrame,
-    footprint: DataFrame,
-    url_filtering: DataFrame,
-    as_of: AsOf = None,
-    tiers: Tiers = URL_TIERS,
+def dlp_risk(
+    flagged: DataFrame, dlp: DataFrame, as_of: AsOf = None, tiers: Tiers = DLP_TIERS
 ) -> DataFrame:
-    """Malware requests from the user's addresses, their distinct domains, and the risk tier.
+    """Data-loss events of each flagged user that were let through, and the risk."""
+    return rate_dlp(attach(flagged.select(USER), dlp_counts(flagged, dlp, as_of)), tiers)
+
+
+# --- proxy ---------------------------------------------------------------------------------
 
-    A user with one active address has exactly that address's domains, already counted, so a
-    gateway address shared by many users is never multiplied out.  Only users with several
-    active addresses need the union of domain sets.
+URL_COUNTS = ("url_hits", "url_domains")
+
+
+def url_counts(footprint: DataFrame, url_filtering: DataFrame, as_of: AsOf = None) -> DataFrame:
+    """Malware requests from each user's addresses, and their distinct domains.
+
+    A user with one address has exactly that address's domains, so a gateway shared by many
+    such users is counted once and never multiplied out.  Only users with several addresses
+    need the union of domain sets.  Both ways read the same shuffle of the log.
     """
-    addresses = footprint.select(USER, F.col("src_ip").alias("ip_address")).distinct()
+    addresses = _pairs(footprint, "src_ip", "ip_address")
+    owned = addresses.join(addresses.groupBy(USER).agg(F.expr("count(1) AS n")), USER)
+    single, several = (owned.where(n).select(USER, "ip_address") for n in ("n = 1", "n > 1"))
+
     per_domain = (
         _recent(url_filtering, "date", as_of)
         .where(F.col("url_category") == schemas.URL_MALWARE)
         .groupBy("ip_address", "domain")
-        .agg(F.count(F.lit(1)).alias("hits"))
-        .join(addresses.select("ip_address"), "ip_address", "left_semi")
-    )
-    per_address = per_domain.groupBy("ip_address").agg(
-        F.sum("hits").alias("hits"), F.count(F.lit(1)).alias("domains")
+        .agg(F.expr("count(1) AS hits"))
+        .join(footprint.selectExpr("src_ip AS ip_address"), "ip_address", "left_semi")
     )
-    active = addresses.join(per_address, "ip_address")
-    per_user = active.groupBy(USER).agg(
-        F.sum("hits").alias("url_hits"),
-        F.count(F.lit(1)).alias("active_addresses"),
-        F.max("domains").alias("only_domains"),
-    )
-    unions = (
-        active.select(USER, "ip_address")
-        .join(per_user.where("active_addresses > 1").select(USER), USER, "left_semi")
-        .join(per_domain.select("ip_address", "domain"), "ip_address")
-        .select(USER, "domain")
-        .distinct()
+    totals = [F.expr("sum(hits) AS url_hits"), F.expr("count(1) AS url_domains")]
+    per_address = per_domain.groupBy("ip_address").agg(*totals)
+    own = single.join(per_address, "ip_address").select(USER, *URL_COUNTS)
+    united = (
+        several.join(per_domain, "ip_address")
+        .groupBy(USER, "domain")
+        .agg(F.expr("sum(hits) AS hits"))
         .groupBy(USER)
-        .agg(F.count(F.lit(1)).alias("all_domains"))
+        .agg(*totals)
     )
-    message = F.format_string("%d malware requests to %d domains", "url_hits", "url_domains")
-    return (
-        flagged.select(USER)
-        .join(per_user, USER, "left")
-        .join(unions, USER, "left")
-        .withColumn("url_domains", F.coalesce("all_domains", "only_domains"))
-        .withColumns(_zero_if_absent("url_hits", "url_domains"))
-        .select(USER, "url_hits", "url_domains")
-        .withColumn("url_risk", tier_of(tiers))
-        .withColumn("url_message", message)
+    return own.unionByName(united)
+
+
+def rate_url(counted: DataFrame, tiers: Tiers = URL_TIERS) -> DataFrame:
+    """Add ``url_risk`` and ``url_message``; missing counts become zero, which is still low."""
+    filled = _replaced(counted, URL_COUNTS, *[f"coalesce({c}, 0L) AS {c}" for c in URL_COUNTS])
+    return filled.selectExpr(
+        "*",
+        f"{tier_of(tiers)} AS url_risk",
+        "concat(url_hits, ' malware requests to ', url_domains, ' domains') AS url_message",
     )
+
+
+def url_risk(
+    flagged: DataFrame,
+    footprint: DataFrame,
+    url_filtering: DataFrame,
+    as_of: AsOf = None,
+    tiers: Tiers = URL_TIERS,
+) -> DataFrame:
+    """Malware requests from each flagged user's addresses, their domains, and the risk."""
+    counts = url_counts(footprint, url_filtering, as_of)
+    return rate_url(attach(flagged.select(USER), counts), tiers)

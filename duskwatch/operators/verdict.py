@@ -4,9 +4,19 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, functions as F
-
-from duskwatch.operators.evidence import USER, Tiers, tier_of
+from pyspark.sql import DataFrame
+
+from duskwatch.operators.evidence import (
+    AV_TIERS,
+    DLP_TIERS,
+    URL_TIERS,
+    Tiers,
+    attach,
+    rate_antivirus,
+    rate_dlp,
+    rate_url,
+    tier_of,
+)
 
 RISKS = ("av_risk", "dlp_risk", "url_risk")
 
@@ -23,19 +33,27 @@ RECOMMENDATIONS: Tiers = (
 )
 
 
-def fuse_severity(risks: DataFrame) -> DataFrame:
-    """Add ``high_count``, ``severity`` and ``recommendation`` to a frame of risks."""
-    is_high = [F.coalesce((F.col(r) == "High").cast("int"), F.lit(0)) for r in RISKS]
+def fuse_severity(rated: DataFrame) -> DataFrame:
+    """Add ``high_count``, ``severity`` and ``recommendation`` to a frame with the three risks."""
+    high_count = " + ".join(f"if({risk} = 'High', 1, 0)" for risk in RISKS)
     return (
-        risks.withColumn("high_count", reduce(Column.__add__, is_high))
-        .withColumn("severity", tier_of(SEVERITY_TIERS))
-        .withColumn("recommendation", tier_of(RECOMMENDATIONS))
+        rated.selectExpr("*", f"{high_count} AS high_count")
+        .selectExpr("*", f"{tier_of(SEVERITY_TIERS)} AS severity")
+        .selectExpr("*", f"{tier_of(RECOMMENDATIONS)} AS recommendation")
     )
 
 
-def findings_table(flagged: DataFrame, *evidence: DataFrame) -> DataFrame:
-    """One wide row per flagged user: every piece of evidence plus the fused severity."""
-    # All parts hold one row per flagged user and are keyed alike, so the joins share a
-    # partitioning and cannot multiply rows.
-    wide = reduce(lambda left, right: left.join(right, USER, "left"), evidence, flagged)
-    return fuse_severity(wide)
+def findings_table(
+    flagged: DataFrame,
+    *evidence: DataFrame,
+    av_tiers: Tiers = AV_TIERS,
+    dlp_tiers: Tiers = DLP_TIERS,
+    url_tiers: Tiers = URL_TIERS,
+) -> DataFrame:
+    """One wide row per flagged user: profile, counts, risks, severity and recommendation.
+
+    ``evidence`` are frames with at most one row per user, so no join here can repeat a user.
+    """
+    wide = reduce(attach, evidence, flagged)
+    rated = rate_url(rate_dlp(rate_antivirus(wide, av_tiers), dlp_tiers), url_tiers)
+    return fuse_severity(rated)

@@ -87,10 +87,13 @@ def investigate(
     """Findings for every flagged user."""
     return findings_table(
         flagged,
-        evidence.entity_profile(flagged, tables.workday),
-        evidence.antivirus_risk(flagged, footprint, tables.antivirus, as_of, av_tiers),
-        evidence.dlp_risk(flagged, tables.dlp, as_of, dlp_tiers),
-        evidence.url_risk(flagged, footprint, tables.url_filtering, as_of, url_tiers),
+        evidence.staff_profiles(tables.workday),
+        evidence.antivirus_counts(footprint, tables.antivirus, as_of),
+        evidence.dlp_counts(flagged, tables.dlp, as_of),
+        evidence.url_counts(footprint, tables.url_filtering, as_of),
+        av_tiers=av_tiers,
+        dlp_tiers=dlp_tiers,
+        url_tiers=url_tiers,
     )
 
 

@@ -1,0 +1,304 @@
+import statistics
+from datetime import datetime, timedelta
+
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from pyspark.sql import Window, functions as F
+
+import duskwatch as dw
+from duskwatch.functions.trailing import with_trailing_sums
+
+NOW = datetime(2024, 1, 31, 12)
+
+
+# --- pattern and thresholds ------------------------------------------------------------------
+
+@pytest.fixture
+def hits(spark):
+    return spark.createDataFrame(
+        [("a", "x", 1), ("a", "x", 2), ("a", "y", None), ("b", "x", 10), (None, "x", 7), (None, "y", 1)],
+        "who string, what string, n int",
+    )
+
+
+def test_pattern_is_equality(hits, rows):
+    assert rows(dw.pattern_based_rule(hits, "what", "y"), "who") == sorted([("a",), (None,)], key=repr)
+    assert dw.pattern_based_rule(hits, "what", ".").count() == 0
+
+
+def test_threshold_count(hits, rows):
+    out = dw.threshold_based_rule(hits, 1, "who")
+    assert out.columns == ["who", "sum_column_tmp"]
+    assert rows(out) == sorted([("a", 3), (None, 2)], key=repr)
+    assert rows(dw.threshold_based_rule(hits, 3, "who")) == []  # strictly above
+
+
+def test_threshold_sum(hits, rows):
+    out = dw.threshold_based_rule(hits, 3, "who", "n")
+    assert out.columns == ["who", "n"]
+    assert rows(out) == sorted([("b", 10), (None, 8)], key=repr)
+
+
+def test_threshold_without_group(hits):
+    assert dw.threshold_based_rule(hits, 5, sum_column="n").count() == 2
+    assert dw.threshold_based_rule(hits, 0).columns[-1] == "sum_column_tmp"
+    assert dw.threshold_based_rule(hits, 0).count() == 6
+    assert dw.threshold_based_rule(hits, 1).count() == 0
+
+
+def test_threshold_many_keys(hits, rows):
+    out = dw.threshold_based_rule_multiple_group_by(hits, ["who", "what"], 1)
+    assert rows(out) == [("a", "x", 2)]
+    assert out.columns[-1] == "count_column_tmp_total"
+    total = dw.threshold_based_rule_multiple_group_by(hits, ["who", "what"], 6, "n")
+    assert rows(total) == sorted([("b", "x", 10), (None, "x", 7)], key=repr)
+    assert total.columns[-1] == "n_total"
+
+
+# --- deviation from the others ---------------------------------------------------------------
+
+def test_outliers_match_the_textbook(spark):
+    values = [1.0, 2.0, 3.0, 2.0, 1.0, 2.0, 3.0, 30.0, -25.0]
+    out = dw.statistical_anomaly_detection(
+        spark.createDataFrame([(v,) for v in values], "v double"), "v", z_score_threshold=1.5
+    ).collect()
+    assert sorted(r.v for r in out) == [-25.0, 30.0]  # two-sided
+    assert out[0].Mean == pytest.approx(statistics.mean(values))
+    assert out[0].stddev == pytest.approx(statistics.stdev(values))
+
+
+@pytest.mark.parametrize("values", [[], [5.0], [5.0, 5.0, 5.0], [None, 5.0]])
+def test_no_spread_no_outlier(spark, values):
+    df = spark.createDataFrame([(v,) for v in values], "v double")
+    assert dw.statistical_anomaly_detection(df, "v", 0.0).count() == 0
+
+
+def test_ten_rows_cannot_reach_three_deviations(spark):
+    df = spark.createDataFrame([(0.0,)] * 9 + [(1e9,)], "v double")
+    assert dw.statistical_anomaly_detection(df, "v").count() == 0
+    df = spark.createDataFrame([(0.0,)] * 10 + [(1e9,)], "v double")
+    assert dw.statistical_anomaly_detection(df, "v").count() == 1
+
+
+def test_outlier_columns_replace_like_named_inputs(spark):
+    df = spark.createDataFrame([(0.0, 1)] * 12 + [(99.0, 1)], "v double, mean int")
+    out = dw.statistical_anomaly_detection(df, "v")
+    assert [c.lower() for c in out.columns] == ["v", "mean", "stddev"]
+
+
+@pytest.fixture
+def logins(spark):
+    peers = [(f"peer{i:02}", 1.0) for i in range(24) for _ in range(1 + i % 3)]
+    return spark.createDataFrame(peers + [("target", 1.0)] * 700 + [(None, 1.0)], "who string, n double")
+
+
+def test_group_outlier(logins, rows):
+    out = dw.statistical_anomaly_detection_group_by(logins, "who")
+    assert out.columns == ["who", "no_events", "sum_column_tmp", "Mean", "stddev"]
+    assert rows(out, "who", "no_events", "sum_column_tmp") == [("target", 700, 700)]
+
+
+def test_group_outlier_limits(logins):
+    run = dw.statistical_anomaly_detection_group_by
+    assert run(logins, "who", "n", no_minimum_window_events=700).count() == 1  # not strict
+    assert run(logins, "who", "n", no_minimum_window_events=701).count() == 0
+    mean = 749 / 26
+    assert run(logins, "who", current_window_is_multiple_of_mean=700 / mean - 1e-9).count() == 1
+    assert run(logins, "who", current_window_is_multiple_of_mean=700 / mean + 1e-6).count() == 0
+    for off in (None, 0, -1):
+        assert run(logins, "who", current_window_is_multiple_of_mean=off).count() == 1
+    with pytest.raises(ValueError):
+        run(logins, "n", "n")
+
+
+def test_minimum_events_do_not_change_the_statistics(logins):
+    plain = dw.statistical_anomaly_detection_group_by(logins, "who").first()
+    limited = dw.statistical_anomaly_detection_group_by(logins, "who", no_minimum_window_events=5).first()
+    assert (plain.Mean, plain.stddev) == (limited.Mean, limited.stddev)
+
+
+# --- deviation from one's own history ----------------------------------------------------------
+
+def reads(who, per_day):
+    """``per_day[i]`` events i days before NOW's day, spread over the morning."""
+    return [
+        (who, NOW - timedelta(days=back, minutes=n))
+        for back, count in per_day.items()
+        for n in range(count)
+    ]
+
+
+@pytest.fixture
+def history(spark):
+    events = (
+        reads("target", {0: 30} | {d: 1 + d % 2 for d in range(1, 15)})
+        + reads("decoy", {d: 5 for d in range(15)})
+        + reads("quiet", {d: 5 for d in range(1, 15)})
+        + reads("newcomer", {0: 40})
+        + reads("brief", {0: 30} | {d: 1 + d % 2 for d in range(1, 7)})
+        + [(None, None)]
+    )
+    return spark.createDataFrame(events, "who string, _event_time timestamp")
+
+
+def test_only_the_surge_fires(history):
+    out = dw.statistically_significant_window_by_std(
+        history, "who", no_minimum_window_events=7, current_window_is_multiple_of_mean=3.0, as_of=NOW
+    ).collect()
+    assert [r.who for r in out] == ["target"]
+    past = [0] + [1 + d % 2 for d in range(1, 15)]  # today is a zero in its own baseline
+    row = out[0]
+    assert row.events_in_last_day == 30
+    assert row.no_day_with_events == 15
+    assert row.events_before_last_day_mean == pytest.approx(statistics.mean(past))
+    assert row.events_before_last_day_std == pytest.approx(statistics.stdev(past))
+    assert row.z_score == pytest.approx((30 - statistics.mean(past)) / statistics.stdev(past))
+
+
+def test_window_count_is_strict(history):
+    def fired(least):
+        out = dw.statistically_significant_window_by_std(
+            history, "who", no_minimum_window_events=least, as_of=NOW
+        )
+        return sorted(r.who for r in out.collect())
+
+    assert fired(6) == ["brief", "target"]  # brief has 7 windows
+    assert fired(7) == ["target"]
+
+
+def test_constant_history_without_activity_today(history):
+    out = dw.statistically_significant_window_by_std(
+        history.where("who = 'quiet'"), "who", z_score_threshold=-99.0, as_of=NOW,
+        current_window_is_multiple_of_mean=-1.0,
+    )
+    assert out.count() == 0  # no spread, no score, and no division by zero
+
+
+def test_later_and_unknown_times_are_zero_samples(spark):
+    events = reads("u", {0: 9, 1: 2, 2: 3, -1: 100}) + [("u", None)]
+    out = dw.statistically_significant_window_by_std(
+        spark.createDataFrame(events, "who string, t timestamp_ntz"), "who", "t",
+        z_score_threshold=1.0, as_of=NOW,
+    ).first()
+    assert out.no_day_with_events == 5
+    assert out.events_before_last_day_mean == pytest.approx(5 / 5)
+
+
+def test_counting_by_a_column(spark):
+    events = [(w, t, 2.5) for w, t in reads("u", {0: 9, 1: 2, 2: 3})] + [("u", NOW, None)]
+    out = dw.statistically_significant_window_by_std(
+        spark.createDataFrame(events, "who string, t timestamp, v double"), "who", "t",
+        z_score_threshold=1.0, count_column="v", as_of=NOW,
+    ).first()
+    assert out.events_in_last_day == pytest.approx(22.5)
+
+
+def test_daily_totals_give_the_same_answer(history):
+    """A table of daily counts can stand in for the raw log."""
+    daily = history.groupBy("who", F.date_trunc("day", "_event_time").alias("_event_time")).count()
+    options = {"no_minimum_window_events": 7, "as_of": NOW}
+    raw = dw.statistically_significant_window_by_std(history, "who", **options)
+    rolled = dw.statistically_significant_window_by_std(daily, "who", count_column="count", **options)
+    assert raw.collect() == rolled.collect()
+
+
+def test_units(history):
+    hourly = dw.statistically_significant_window_by_std(history, "who", window="hour", as_of=NOW)
+    assert "events_in_last_hour" in hourly.columns and "no_hour_with_events" in hourly.columns
+    with pytest.raises(ValueError, match="fortnight"):
+        dw.statistically_significant_window_by_std(history, "who", window="fortnight")
+
+
+# --- trends ------------------------------------------------------------------------------------
+
+def brute_trend(events, ratio, short, long):
+    """The definition, by looking at every pair of timestamps of an entity."""
+    totals = {}
+    for who, t, v in events:
+        old = totals.get((who, t))
+        totals[who, t] = old if v is None else (old or 0) + v
+    out = {}
+    for (who, t), total in sorted(totals.items(), key=lambda item: item[0][1]):
+        second = int(t.timestamp() // 1)
+
+        def average(reach):
+            seen = [
+                v for (w, u), v in totals.items()
+                if w == who and v is not None and second - reach <= int(u.timestamp() // 1) <= second
+            ]
+            return sum(seen) / len(seen) if seen else None
+
+        hour, day = average(short), average(long)
+        if hour is not None and day is not None and hour > ratio * day:
+            first = out.get(who, (t, None, total, hour, day))
+            out[who] = (first[0], t, *first[2:])
+    return {who: (a, b, s, pytest.approx(h), pytest.approx(d)) for who, (a, b, s, h, d) in out.items()}
+
+
+EPOCH = datetime(2024, 1, 1)
+event = st.tuples(
+    st.sampled_from("ab"),
+    st.integers(0, 60_000).map(lambda ms: EPOCH + timedelta(milliseconds=ms * 5)),
+    st.one_of(st.none(), st.integers(-5, 50)),
+)
+
+
+@settings(max_examples=12, deadline=None)
+@given(
+    events=st.lists(event, max_size=40),
+    ratio=st.sampled_from([0.5, 1.0, 1.25, 3.0]),
+    reaches=st.sampled_from([(5, 60), (7, 50), (0, 30), (60, 5), (3, 1000)]),
+)
+def test_trend_equals_its_definition(spark, events, ratio, reaches):
+    df = spark.createDataFrame(events, "who string, t timestamp, v int")
+    out = dw.trending_based_rule(df, "t", "who", "v", ratio, -reaches[0], -reaches[1])
+    got = {r.who: tuple(r)[1:] for r in out.collect()}
+    assert got == brute_trend(events, ratio, *reaches)
+
+
+def test_trend_of_counts(spark):
+    steady = [("u", EPOCH + timedelta(hours=h), 1) for h in range(24)]
+    burst = [("u", EPOCH + timedelta(hours=24), 1)] * 9
+    df = spark.createDataFrame(steady + burst, "who string, t timestamp_ntz, n int")
+    out = dw.trending_based_rule(df, "t", "who").collect()
+    assert len(out) == 1
+    assert out[0].sum_count == 9 and out[0].min_timestamp == out[0].max_timestamp
+    assert dw.trending_based_rule(df.limit(24), "t", "who").count() == 0  # every average is one
+    with pytest.raises(ValueError):
+        dw.trending_based_rule(df, "t", "who", hour_range=3600)
+
+
+def test_same_second_rows_see_each_other(spark):
+    t = EPOCH
+    events = [("u", t - timedelta(minutes=90), 1), ("u", t, 1), ("u", t + timedelta(milliseconds=500), 9)]
+    df = spark.createDataFrame(events, "who string, t timestamp, v int")
+    row = dw.trending_based_rule(df, "t", "who", "v").first()
+    # the first of the two already sees the second
+    assert row.min_timestamp == t and row.max_timestamp == t + timedelta(milliseconds=500)
+    assert (row.sum_count, row.hour_avg) == (1, 5.0)
+
+
+def test_trailing_sums_equal_range_frames(spark):
+    points = spark.range(3000).selectExpr(
+        "IF(id % 3 = 0, 'hot', CONCAT('k', id % 40)) AS k", "id * 37 AS s",
+        "CAST(id % 11 AS DOUBLE) + 1e9 * IF(id = 5, 1, 0) AS v",
+    )
+    ours = with_trailing_sums(points, ["k"], "s", 3600, {"ours": "v"})
+    frame = Window.partitionBy("k").orderBy("s").rangeBetween(-3600, 0)
+    both = ours.withColumn("spark", F.sum("v").over(frame))
+    assert both.count() == 3000
+    assert both.where("ours <> spark").count() == 0  # also long after the large value has left
+
+
+def test_trend_with_unknown_times_and_dates(spark):
+    df = spark.createDataFrame(
+        [("u", None, 4), ("u", datetime(2024, 1, 1), 1), ("u", datetime(2024, 1, 9), 1), (None, None, 3)],
+        "who string, t timestamp, v int",
+    )
+    everything = dw.trending_based_rule(df, "t", "who", "v", ratio_threshold=0.5)
+    assert {r.who: (r.min_timestamp, r.max_timestamp) for r in everything.collect()} == {
+        "u": (datetime(2024, 1, 1), datetime(2024, 1, 9)), None: (None, None),
+    }
+    days = df.selectExpr("who", "CAST(t AS DATE) AS t", "v")
+    assert dw.trending_based_rule(days, "t", "who", "v", ratio_threshold=0.5).count() == 2

@@ -1,4 +1,4 @@
-"""Python values as column literals of the right type.
+"""Python values as column literals of the right type, and names as SQL text.
 
 Spark 4 compares under ANSI rules: a string column against an integer raises on the
 first non-numeric row, at run time, somewhere in the cluster.  Converting the *literal*
@@ -17,6 +17,11 @@ from pyspark.sql import types as T
 _TIME_TYPES = (T.TimestampType, T.TimestampNTZType, T.DateType)
 
 
+def quoted(name: str) -> str:
+    """A column name as SQL text, whatever characters it contains."""
+    return "`" + name.replace("`", "``") + "`"
+
+
 def column_type(df: DataFrame, column: str) -> T.DataType:
     """Type of ``column`` as Spark resolves it (case-insensitive, nested paths allowed)."""
     return df.select(F.col(column)).schema[0].dataType

@@ -20,12 +20,9 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame
 
-_TAGS = ("__echo", "__at", "__chunk")
-
+from duskwatch.functions.literals import quoted
 
-def quoted(name: str) -> str:
-    """A column name as SQL text, whatever characters it contains."""
-    return "`" + name.replace("`", "``") + "`"
+_TAGS = ("__echo", "__at", "__chunk")
 
 
 def with_trailing_sums(

@@ -18,6 +18,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from duskwatch.functions.clock import AsOf
 from duskwatch.operators.filters import filter_by_relative_time
+from duskwatch.operators.relational import spread_join
 from duskwatch.sources import schemas
 
 USER = "user"
@@ -121,7 +122,7 @@ def antivirus_counts(footprint: DataFrame, antivirus: DataFrame, as_of: AsOf = N
         .join(footprint.selectExpr("dest_hostname AS hostname"), "hostname", "left_semi")
     )
     totals = [F.expr(f"coalesce(sum({c}), 0) AS {c}") for c in AV_COUNTS]
-    return hosts.join(per_host, "hostname", "left").groupBy(USER).agg(*totals)
+    return spread_join(hosts, per_host, "hostname", USER, "left").groupBy(USER).agg(*totals)
 
 
 def rate_antivirus(counted: DataFrame, tiers: Tiers = AV_TIERS) -> DataFrame:
@@ -197,7 +198,8 @@ def url_counts(footprint: DataFrame, url_filtering: DataFrame, as_of: AsOf = Non
 
     A user with one address has exactly that address's domains, so a gateway shared by many
     such users is counted once and never multiplied out.  Only users with several addresses
-    need the union of domain sets.  Both ways read the same shuffle of the log.
+    need the union of domain sets.  Both ways read the same shuffle of the log, and an address
+    with very many users or domains is spread over tasks.
     """
     addresses = _pairs(footprint, "src_ip", "ip_address")
     owned = addresses.join(addresses.groupBy(USER).agg(F.expr("count(1) AS n")), USER)
@@ -212,9 +214,9 @@ def url_counts(footprint: DataFrame, url_filtering: DataFrame, as_of: AsOf = Non
     )
     totals = [F.expr("sum(hits) AS url_hits"), F.expr("count(1) AS url_domains")]
     per_address = per_domain.groupBy("ip_address").agg(*totals)
-    own = single.join(per_address, "ip_address").select(USER, *URL_COUNTS)
+    own = spread_join(single, per_address, "ip_address", USER).select(USER, *URL_COUNTS)
     united = (
-        several.join(per_domain, "ip_address")
+        spread_join(per_domain, several, "ip_address", "domain")
         .groupBy(USER, "domain")
         .agg(F.expr("sum(hits) AS hits"))
         .groupBy(USER)

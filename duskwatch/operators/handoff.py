@@ -61,8 +61,10 @@ def resolve_users(detections: DataFrame, identity: DataFrame | None = None) -> D
     if identity is None:
         return detections.withColumn(USER, F.col("entity")).withColumn("resolved", is_user)
     owners = identity.groupBy(F.col("email").alias("owner_email")).agg(F.min(USER).alias("owner"))
-    address = F.when(F.col("entity_type") == "email", F.col("entity"))
-    looked_up = detections.join(owners, address == F.col("owner_email"), "left")
+    # The type is a condition of the join, not part of its key: a key that is null for every
+    # other entity would send all of those to one task.
+    is_owner = (F.col("entity") == F.col("owner_email")) & (F.col("entity_type") == "email")
+    looked_up = detections.join(owners, is_owner, "left")
     return (
         looked_up.withColumn(USER, F.coalesce("owner", "entity"))
         .withColumn("resolved", is_user | F.col("owner").isNotNull())

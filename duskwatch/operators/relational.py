@@ -2,10 +2,15 @@
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from duskwatch.functions.literals import quoted
+
+SPREAD = 16
+
 
 def select_columns(df: DataFrame, *columns: str) -> DataFrame:
     """Keep the named columns in the given order; a list is accepted, repeats are allowed."""
@@ -51,7 +56,18 @@ def sort_by_columns(
     directions = [ascending] * len(names) if isinstance(ascending, bool) else list(ascending)
     if len(names) != len(directions):
         raise AssertionError(f"{len(names)} sort columns but {len(directions)} directions")
-    return df.orderBy(*names, ascending=[bool(d) for d in directions])
+    keys = [F.asc(name) if up else F.desc(name) for name, up in zip(names, directions)]
+    return df.orderBy(*keys, *_tie_breaker(df))
+
+
+def _tie_breaker(df: DataFrame) -> list[Column]:
+    # A sort cuts the data into ranges of the sort key, and rows that tie cannot be cut apart:
+    # a value owning a third of the table would become one task.  Ties have no promised order,
+    # so ordering them by a hash of the row gives the cut something to work with.
+    names = [f.name for f in df.schema if "map<" not in f.dataType.simpleString()]
+    repeated = {n for n, count in Counter(c.lower() for c in df.columns).items() if count > 1}
+    usable = [F.col(quoted(n)) for n in names if n.lower() not in repeated]
+    return [F.xxhash64(*usable)] if usable else []
 
 
 def join_tables(df1: DataFrame, df2: DataFrame, join_column: str | Sequence[str]) -> DataFrame:
@@ -63,6 +79,24 @@ def join_tables(df1: DataFrame, df2: DataFrame, join_column: str | Sequence[str]
     return df1.join(df2, on=join_column, how="inner")
 
 
+def spread_join(
+    split: DataFrame, copied: DataFrame, key: str, by: str, how: str = "inner"
+) -> DataFrame:
+    """Equi-join in which a hot ``key`` of ``split`` is worked on by ``SPREAD`` tasks.
+
+    Each key's rows are divided by the value of ``by``, and ``copied`` is repeated once per
+    part; it should be the small side, with few rows per key.  Adaptive execution divides skewed
+    keys too, but only where both inputs come straight from a shuffle, which an aggregate on the
+    join key does not.
+    """
+    part = F.pmod(F.xxhash64(by), F.lit(SPREAD)).cast("int")
+    every_part = F.explode(F.sequence(F.lit(0), F.lit(SPREAD - 1)))
+    joined = split.withColumn("__part", part).join(
+        copied.withColumn("__part", every_part), [key, "__part"], how
+    )
+    return joined.drop("__part")
+
+
 def aggregate_data(
     df: DataFrame,
     group_by_columns: Sequence[str],

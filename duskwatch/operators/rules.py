@@ -12,9 +12,9 @@ from typing import Any
 from pyspark.sql import Column, DataFrame, functions as F
 
 from duskwatch.functions.clock import AsOf, checked_unit, epoch_seconds, wall_clock
-from duskwatch.functions.literals import column_type
+from duskwatch.functions.literals import column_type, quoted
 from duskwatch.functions.predicates import equals
-from duskwatch.functions.trailing import quoted, with_trailing_sums
+from duskwatch.functions.trailing import with_trailing_sums
 
 
 def _volume(value_column: str | None) -> Column:

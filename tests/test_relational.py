@@ -2,7 +2,12 @@ import pytest
 from pyspark.sql import functions as F
 
 import duskwatch as dw
-from duskwatch.operators.relational import derive_by_category, distinct_columns, with_surrogate_ids
+from duskwatch.operators.relational import (
+    derive_by_category,
+    distinct_columns,
+    spread_join,
+    with_surrogate_ids,
+)
 
 
 @pytest.fixture
@@ -61,3 +66,28 @@ def test_surrogate_ids_follow_the_order(df):
     assert [r.i for r in ordered] == [4, 3, 2, 1]
     assert ordered[0].id == 100
     assert len({r.id for r in ordered}) == 4
+
+
+@pytest.mark.parametrize("how", ["inner", "left"])
+def test_spread_join_equals_a_plain_join(spark, rows, how):
+    split = spark.range(500).selectExpr("IF(id % 3 = 0, 0, id % 40) AS k", "id AS u")
+    copied = spark.range(20).selectExpr("id % 10 AS k", "id AS w")
+    spread = spread_join(split, copied, "k", "u", how)
+    assert rows(spread) == rows(split.join(copied, "k", how))
+
+
+def test_ties_of_a_sort_are_cut_apart(spark):
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        hot = spark.range(20_000).selectExpr("1 AS k", "id")
+        sizes = dw.sort_by_column(hot, "k").rdd.mapPartitions(lambda rows: [sum(1 for _ in rows)])
+        assert max(sizes.collect()) < 10_000
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+
+
+def test_sort_of_columns_that_cannot_be_hashed(spark):
+    df = spark.createDataFrame([(2, {"a": 1}), (1, {"b": 2})], "i int, m map<string,int>")
+    assert [r.i for r in dw.sort_by_column(df, "i").collect()] == [1, 2]
+    doubled = df.select("i", "i", "m")
+    assert dw.sort_by_column(doubled.toDF("i", "j", "m"), "i").count() == 2

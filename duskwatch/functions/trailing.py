@@ -54,10 +54,13 @@ def with_trailing_sums(
         ],
     )
 
-    chunk = f"PARTITION BY {key_list}, __chunk ORDER BY __at"
+    # Points are unique per second; an echo of the same second is still in reach, so it goes first.
+    chunk = f"PARTITION BY {key_list}, __chunk"
+    since_start = f"{chunk} ORDER BY __at ROWS UNBOUNDED PRECEDING"
+    still_in_reach = f"{chunk} ORDER BY __at DESC, __echo DESC ROWS UNBOUNDED PRECEDING"
     totals = [
-        f"sum(if(__echo, null, {quoted(old)})) OVER ({chunk})"
-        f" + coalesce(sum(if(__echo, {quoted(old)}, null)) OVER ({chunk} DESC), 0)"
+        f"sum(if(__echo, null, {quoted(old)})) OVER ({since_start})"
+        f" + coalesce(sum(if(__echo, {quoted(old)}, null)) OVER ({still_in_reach}), 0)"
         f" AS {quoted(new)}"
         for new, old in sums.items()
     ]

@@ -115,7 +115,7 @@ def test_group_outlier_limits(logins):
 def test_minimum_events_do_not_change_the_statistics(logins):
     plain = dw.statistical_anomaly_detection_group_by(logins, "who").first()
     limited = dw.statistical_anomaly_detection_group_by(logins, "who", no_minimum_window_events=5).first()
-    assert (plain.Mean, plain.stddev) == (limited.Mean, limited.stddev)
+    assert (plain.Mean, plain.stddev) == pytest.approx((limited.Mean, limited.stddev))
 
 
 # --- deviation from one's own history ----------------------------------------------------------
@@ -194,13 +194,13 @@ def test_counting_by_a_column(spark):
     assert out.events_in_last_day == pytest.approx(22.5)
 
 
-def test_daily_totals_give_the_same_answer(history):
+def test_daily_totals_give_the_same_answer(history, rows):
     """A table of daily counts can stand in for the raw log."""
     daily = history.groupBy("who", F.date_trunc("day", "_event_time").alias("_event_time")).count()
     options = {"no_minimum_window_events": 7, "as_of": NOW}
     raw = dw.statistically_significant_window_by_std(history, "who", **options)
     rolled = dw.statistically_significant_window_by_std(daily, "who", count_column="count", **options)
-    assert raw.collect() == rolled.collect()
+    assert rows(raw) == rows(rolled)
 
 
 def test_units(history):

@@ -56,7 +56,9 @@ def checked_unit(window: str) -> str:
 
 
 def epoch_seconds(moment: Column, dtype: T.DataType) -> Column:
-    """Whole seconds since the epoch, rounded down; null for null."""
+    """Whole seconds since the epoch; null for null."""
     if isinstance(dtype, T.NumericType):
         return moment.cast("bigint")
-    return F.unix_timestamp(moment.cast(T.TimestampType()))
+    if isinstance(dtype, T.TimestampNTZType):
+        return F.unix_timestamp(moment)  # wall-clock seconds, whatever the session's zone
+    return F.unix_seconds(moment.cast(T.TimestampType()))

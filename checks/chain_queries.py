@@ -249,12 +249,13 @@ def verdict_findings(spark, directory):
 
 
 @check(_COMMON + """
-    SELECT severity, count(*) AS users, sum(av_detected)::BIGINT AS detections FROM findings
-    GROUP BY severity
+    SELECT severity, count(*) AS users, CAST(coalesce(sum(av_detected), 0) AS BIGINT) AS detections
+    FROM findings GROUP BY severity
 """)
 def verdict_severity_counts(spark, directory):
     return _findings(spark, directory).groupBy("severity").agg(
-        F.count(F.lit(1)).alias("users"), F.sum("av_detected").alias("detections")
+        F.count(F.lit(1)).alias("users"),
+        F.coalesce(F.sum("av_detected"), F.lit(0)).alias("detections"),
     )
 
 
@@ -350,6 +351,15 @@ def handoff_detections(spark, directory):
     )
 
 
+@check(_ALERTS + """
+    SELECT rule_name, entity, round(score, 6) AS score, "user" FROM detections
+    ORDER BY score DESC, entity, rule_name LIMIT 3
+""")
+def handoff_strongest(spark, directory):
+    top = handoff.strongest(_detections(spark, directory), 3)
+    return top.select("rule_name", "entity", F.round("score", 6).alias("score"), "user")
+
+
 @check(_ALERTS + "SELECT * FROM flagged")
 def handoff_flagged_users(spark, directory):
     return handoff.flagged_users(_detections(spark, directory))

@@ -7,6 +7,7 @@ places on both sides.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -18,7 +19,9 @@ from duskwatch.operators.relational import (
     with_surrogate_ids,
 )
 from duskwatch.operators.evidence import users_of
-from duskwatch.sources.tables import get_table, read_path, sql_over_path
+from duskwatch.plans.history import surges_in_totals, window_totals
+from duskwatch.sources.staging import shared_folder
+from duskwatch.sources.tables import append, get_table, overwrite, read_path, sql_over_path
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -70,6 +73,27 @@ def point_lookup(spark, directory):
     )
 
 
+@check("""
+    SELECT user_id, count(*) AS n, max(ts) AS last_seen FROM events GROUP BY user_id
+    UNION ALL
+    SELECT user_id, count(*) AS n, max(ts) AS last_seen FROM events
+    WHERE event_type = 'error' GROUP BY user_id
+""")
+def write_overwrite_append(spark, directory):
+    """Totals of all events written over a table, totals of errors added, both read back."""
+    events = table(spark, directory, "events")
+    path = f"{shared_folder(spark)}/totals-{uuid.uuid4().hex}"
+
+    def totals(rows):
+        return dw.aggregate_data(
+            rows, ["user_id"], ["event_id", "ts"], [F.count, F.max], ["n", "last_seen"]
+        )
+
+    overwrite(totals(events), path)
+    append(totals(dw.filter_column_by_value(events, "event_type", "error")), path)
+    return read_path(spark, path)
+
+
 # --- projection ----------------------------------------------------------------------------
 
 @check("SELECT user_id, event_type, ts FROM events")
@@ -586,3 +610,14 @@ def rule_own_history_sum(spark, directory):
         current_window_is_multiple_of_mean=1.2, as_of="2024-01-29 20:30:00",
     )
     return _window_rounded(found, "hour")
+
+
+@check(_window_sql("events", "user_id", "ts", "day", "2024-01-30 12:00:00", 1.5, 3, 1.5))
+def rule_own_history_from_totals(spark, directory):
+    """The same rule over daily totals instead of the log."""
+    totals = window_totals(table(spark, directory, "events"), "user_id", "ts")
+    found = surges_in_totals(
+        totals, "user_id", "ts", z_score_threshold=1.5, no_minimum_window_events=3,
+        current_window_is_multiple_of_mean=1.5, as_of="2024-01-30 12:00:00",
+    )
+    return _window_rounded(found, "day")

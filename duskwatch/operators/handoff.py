@@ -50,6 +50,11 @@ def all_detections(*detections: DataFrame) -> DataFrame:
     return reduce(lambda one, other: one.unionByName(other), detections)
 
 
+def strongest(detections: DataFrame, n: int = 1) -> DataFrame:
+    """The ``n`` detections with the highest score, in an order that does not depend on luck."""
+    return detections.orderBy(F.desc_nulls_last("score"), "entity", "rule_name").limit(n)
+
+
 def resolve_users(detections: DataFrame, identity: DataFrame | None = None) -> DataFrame:
     """Add ``user`` and ``resolved``.
 

@@ -25,10 +25,12 @@ def malicious_requests(url_filtering: DataFrame, as_of: AsOf = None) -> DataFram
     return filter_columns_by_values(recent, {"url_category": MALICIOUS_CATEGORIES})
 
 
-def busy_addresses(web_logs: DataFrame, as_of: AsOf = None) -> DataFrame:
-    """Addresses with more than a hundred requests in the last day."""
+def busy_addresses(
+    web_logs: DataFrame, as_of: AsOf = None, threshold: float = BUSY_ADDRESS_REQUESTS
+) -> DataFrame:
+    """Addresses with more than ``threshold`` requests in the last day."""
     recent = filter_by_relative_time(web_logs, days=1, time_column="timestamp", as_of=as_of)
-    return threshold_based_rule(recent, BUSY_ADDRESS_REQUESTS, groupby_column="ip")
+    return threshold_based_rule(recent, threshold, groupby_column="ip")
 
 
 def anomalous_failed_logins(ciam: DataFrame, as_of: AsOf = None) -> DataFrame:

@@ -71,20 +71,27 @@ def overwrite(
     merge_schema: bool = False,
     partition_by: Sequence[str] = (),
 ) -> None:
-    """Replace the table at ``path``; ``merge_schema`` lets the new rows bring new columns."""
+    """Replace the table at ``path``; ``merge_schema`` lets the new rows bring new columns.
+
+    With ``partition_by`` (a day column, say) later filters on it skip whole folders.  Rows are
+    first brought together by that column, in portions of even size: a folder gets few files, and
+    a day holding a third of the log still gets as many writers as it needs.
+    """
     _write(df, path, "overwrite", fmt, merge_schema, partition_by)
 
 
 def append(
     df: DataFrame, path: str, fmt: str = DEFAULT_FORMAT, partition_by: Sequence[str] = ()
 ) -> None:
-    """Add rows to the table at ``path``."""
+    """Add rows to the table at ``path``; ``partition_by`` as for ``overwrite``."""
     _write(df, path, "append", fmt, False, partition_by)
 
 
 def _write(
     df: DataFrame, path: str, mode: str, fmt: str, merge_schema: bool, partition_by: Sequence[str]
 ) -> None:
+    if partition_by:
+        df = df.hint("rebalance", *partition_by)
     writer = df.write.format(fmt).mode(mode)
     if merge_schema:
         writer = writer.option("mergeSchema", True)

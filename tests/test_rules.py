@@ -210,6 +210,43 @@ def test_units(history):
         dw.statistically_significant_window_by_std(history, "who", window="fortnight")
 
 
+def brute_surges(events, now, z, least, multiple):
+    """The definition, entity by entity."""
+    out = {}
+    for who in {w for w, _ in events}:
+        days = [t and t.date() for w, t in events if w == who]
+        past = [days.count(d) if d and d < now.date() else 0 for d in set(days)]
+        current = days.count(now.date())
+        if len(past) < 2 or statistics.stdev(past) == 0:
+            continue
+        mean, deviation = statistics.mean(past), statistics.stdev(past)
+        score = (current - mean) / deviation
+        if score > z and len(past) > least and current > multiple * mean:
+            out[who] = (current, pytest.approx(mean), pytest.approx(deviation), len(past), pytest.approx(score))
+    return out
+
+
+dated = st.tuples(
+    st.sampled_from(["a", "b", None]),
+    st.one_of(st.none(), st.sampled_from([0] * 6 + [-1, 1, 2, 3, 4]).map(lambda d: NOW - timedelta(days=d))),
+)
+
+
+@settings(max_examples=15, deadline=None)
+@given(
+    events=st.lists(dated, min_size=8, max_size=40),
+    # limits no score or multiple of these small numbers can hit exactly
+    limits=st.sampled_from([(-9.01, 0, -1.01), (0.503, 2, 0.507), (1.017, 1, 1.013), (0.303, 4, 2.003)]),
+)
+def test_surges_equal_their_definition(spark, events, limits):
+    z, least, multiple = limits
+    out = dw.statistically_significant_window_by_std(
+        spark.createDataFrame(events, "who string, t timestamp"), "who", "t", z,
+        no_minimum_window_events=least, current_window_is_multiple_of_mean=multiple, as_of=NOW,
+    )
+    assert {r.who: tuple(r)[1:] for r in out.collect()} == brute_surges(events, NOW, z, least, multiple)
+
+
 # --- trends ------------------------------------------------------------------------------------
 
 def brute_trend(events, ratio, short, long):

@@ -49,6 +49,24 @@ def test_partitioned_write_prunes(spark, tmp_path):
     assert "PartitionFilters: [isnotnull(day" in plan
 
 
+def test_partitioned_write_makes_few_files_and_splits_hot_ones(spark, tmp_path):
+    rows = spark.range(0, 60_000, 1, 8).selectExpr(
+        "id", "IF(id % 3 = 0, 0, id % 9) AS day", "sha2(CAST(id AS STRING), 256) AS text"
+    )
+    few = str(tmp_path / "few")
+    tables.overwrite(rows, few, partition_by=["day"])
+    assert len(tables.read_path(spark, few).inputFiles()) <= 9  # not 8 tasks x 9 days
+
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "200k")
+    try:
+        split = str(tmp_path / "split")
+        tables.overwrite(rows, split, partition_by=["day"])
+        assert len(tables.read_path(spark, split).where("day = 0").inputFiles()) > 1
+        assert tables.read_path(spark, split).count() == 60_000
+    finally:
+        spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+
+
 def test_sql_over_path_binds_values(spark, tmp_path):
     path = str(tmp_path / "users")
     directory = tables.local_rows(spark, [("o'neil", "g-1"), ("x' OR '1'='1", "g-2")], schemas.USERS)

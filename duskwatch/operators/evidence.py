@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from duskwatch.functions.clock import AsOf
 from duskwatch.operators.filters import filter_by_relative_time
-from duskwatch.operators.relational import spread_join
+from duskwatch.operators.relational import PART, in_parts, spread_join
 from duskwatch.sources import schemas
 
 USER = "user"
@@ -119,7 +119,7 @@ def antivirus_counts(footprint: DataFrame, antivirus: DataFrame, as_of: AsOf = N
             F.expr(f"count_if(event_type = '{schemas.MALWARE_ACTION_TAKEN}') AS av_cleaned"),
             F.expr(f"count_if(event_type = '{schemas.MALWARE_ACTION_FAILED}') AS av_failed"),
         )
-        .join(footprint.selectExpr("dest_hostname AS hostname"), "hostname", "left_semi")
+        .join(hosts.select("hostname").distinct(), "hostname", "left_semi")
     )
     totals = [F.expr(f"coalesce(sum({c}), 0) AS {c}") for c in AV_COUNTS]
     return spread_join(hosts, per_host, "hostname", USER, "left").groupBy(USER).agg(*totals)
@@ -198,31 +198,39 @@ def url_counts(footprint: DataFrame, url_filtering: DataFrame, as_of: AsOf = Non
 
     A user with one address has exactly that address's domains, so a gateway shared by many
     such users is counted once and never multiplied out.  Only users with several addresses
-    need the union of domain sets.  Both ways read the same shuffle of the log, and an address
-    with very many users or domains is spread over tasks.
+    need the union of domain sets.
     """
     addresses = _pairs(footprint, "src_ip", "ip_address")
-    owned = addresses.join(addresses.groupBy(USER).agg(F.expr("count(1) AS n")), USER)
-    single, several = (owned.where(n).select(USER, "ip_address") for n in ("n = 1", "n > 1"))
+    sizes = addresses.groupBy(USER).agg(F.expr("count(1) > 1 AS several"))
+    owned = addresses.join(sizes, USER)
 
     per_domain = (
         _recent(url_filtering, "date", as_of)
         .where(F.col("url_category") == schemas.URL_MALWARE)
         .groupBy("ip_address", "domain")
         .agg(F.expr("count(1) AS hits"))
-        .join(footprint.selectExpr("src_ip AS ip_address"), "ip_address", "left_semi")
+        .join(addresses.select("ip_address").distinct(), "ip_address", "left_semi")
     )
-    totals = [F.expr("sum(hits) AS url_hits"), F.expr("count(1) AS url_domains")]
-    per_address = per_domain.groupBy("ip_address").agg(*totals)
-    own = spread_join(single, per_address, "ip_address", USER).select(USER, *URL_COUNTS)
-    united = (
-        spread_join(per_domain, several, "ip_address", "domain")
-        .groupBy(USER, "domain")
-        .agg(F.expr("sum(hits) AS hits"))
+    # Both levels from one pass: the domains of an address, for users with several addresses,
+    # and the address as a whole, for users with this one.
+    levels = per_domain.groupingSets(
+        [["ip_address", "domain"], ["ip_address"]], "ip_address", "domain"
+    ).agg(
+        F.expr("sum(hits) AS hits"),
+        F.expr("count(1) AS domains"),
+        F.expr("grouping(domain) = 0 AS several"),
+    )
+    # Hot addresses are divided on the side with many rows: by domain when users bring several
+    # addresses, by user when the address is one row.
+    met = in_parts(levels, "domain", copy_if="NOT several").join(
+        in_parts(owned, USER, copy_if="several"), ["ip_address", "several", PART]
+    )
+    return (
+        met.groupBy(USER, "domain")
+        .agg(F.expr("sum(hits) AS hits"), F.expr("max(domains) AS domains"))
         .groupBy(USER)
-        .agg(*totals)
+        .agg(F.expr("sum(hits) AS url_hits"), F.expr("sum(domains) AS url_domains"))
     )
-    return own.unionByName(united)
 
 
 def rate_url(counted: DataFrame, tiers: Tiers = URL_TIERS) -> DataFrame:

@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from duskwatch.functions.literals import quoted
 
 SPREAD = 16
+PART = "__part"
 
 
 def select_columns(df: DataFrame, *columns: str) -> DataFrame:
@@ -79,6 +80,17 @@ def join_tables(df1: DataFrame, df2: DataFrame, join_column: str | Sequence[str]
     return df1.join(df2, on=join_column, how="inner")
 
 
+def in_parts(df: DataFrame, by: str, copy_if: str = "FALSE") -> DataFrame:
+    """Number rows with one of ``SPREAD`` parts by a hash of ``by``.
+
+    Rows meeting the SQL condition ``copy_if`` are repeated in every part instead.
+    """
+    own = f"array(CAST(pmod(xxhash64({quoted(by)}), {SPREAD}) AS INT))"
+    return df.selectExpr(
+        "*", f"explode(if({copy_if}, sequence(0, {SPREAD - 1}), {own})) AS {PART}"
+    )
+
+
 def spread_join(
     split: DataFrame, copied: DataFrame, key: str, by: str, how: str = "inner"
 ) -> DataFrame:
@@ -89,12 +101,8 @@ def spread_join(
     keys too, but only where both inputs come straight from a shuffle, which an aggregate on the
     join key does not.
     """
-    part = F.pmod(F.xxhash64(by), F.lit(SPREAD)).cast("int")
-    every_part = F.explode(F.sequence(F.lit(0), F.lit(SPREAD - 1)))
-    joined = split.withColumn("__part", part).join(
-        copied.withColumn("__part", every_part), [key, "__part"], how
-    )
-    return joined.drop("__part")
+    joined = in_parts(split, by).join(in_parts(copied, key, copy_if="TRUE"), [key, PART], how)
+    return joined.drop(PART)
 
 
 def aggregate_data(

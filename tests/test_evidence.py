@@ -1,4 +1,5 @@
 import pytest
+from pyspark.sql import functions as F
 
 from duskwatch.operators import evidence, verdict
 from scenario import CLEANED, DETECTED, FAILED, NOW, ago
@@ -109,6 +110,25 @@ def test_domains_are_united_over_addresses(spark):
     }
 
 
+def test_proxy_evidence_equals_its_definition(spark, rows):
+    log = spark.range(3000).selectExpr(
+        "timestamp'2024-01-30' AS date", "IF(id % 3 = 0, 'gateway', CONCAT('ip', id % 17)) AS ip_address",
+        "IF(id % 29 = 0, NULL, CONCAT('d', pmod(xxhash64(id), 40))) AS domain",
+        "IF(id % 5 = 0, 'Business', 'Malware') AS url_category",
+    )
+    where = spark.range(200).selectExpr(
+        "CONCAT('u', id % 90) AS user", "'h' AS dest_hostname",
+        "IF(id % 2 = 0, 'gateway', CONCAT('ip', id % 23)) AS src_ip",
+    )
+    pairs = where.selectExpr("user", "src_ip AS ip_address").distinct()
+    plain = (
+        pairs.join(log.where("url_category = 'Malware'"), "ip_address").groupBy("user")
+        .agg(F.count(F.lit(1)), F.countDistinct(F.coalesce("domain", F.lit("?"))))
+    )
+    got = evidence.url_counts(where, log, NOW)
+    assert rows(got) == rows(plain) and got.count() > 40
+
+
 # --- footprint and verdict -------------------------------------------------------------------------
 
 def test_footprint(spark, rows):

@@ -134,9 +134,8 @@ def test_proxy_log_is_read_once(spark):
     where = stage(
         spark.sql("SELECT DISTINCT domain AS user, 'h' AS dest_hostname, ip_address AS src_ip FROM proxy"), "where"
     )
-    plan = executed(evidence.url_counts(where, spark.table("proxy"), "2024-01-10"))
+    plan = planned(evidence.url_counts(where, spark.table("proxy"), "2024-01-10"))
     assert plan.count(EVENTS.rsplit("/", 2)[1] + "/events.parquet") == 1
-    assert "ReusedExchange" in plan
 
 
 def test_building_runs_no_job(spark, events):

@@ -1,6 +1,6 @@
 import pytest
 
-from duskwatch import get_table
+from duskwatch import filter_by_relative_time, get_table
 from duskwatch.sources import schemas, staging, tables
 
 
@@ -49,6 +49,20 @@ def test_partitioned_write_prunes(spark, tmp_path):
     assert "PartitionFilters: [isnotnull(day" in plan
 
 
+def test_relative_time_on_the_day_column_skips_folders(spark, tmp_path):
+    path = str(tmp_path / "t")
+    log = spark.range(90).selectExpr(
+        "timestamp'2024-01-01 06:00:00' + make_dt_interval(CAST(id AS INT)) AS t", "id"
+    )
+    tables.overwrite(log.selectExpr("*", "CAST(t AS DATE) AS day"), path, partition_by=["day"])
+    recent = tables.read_path(spark, path)
+    for column in ("day", "t"):
+        recent = filter_by_relative_time(recent, days=7, time_column=column, as_of="2024-03-31 12:00:00")
+    plan = recent._jdf.queryExecution().toString()
+    assert "(day#" in plan and ">= 2024-03-24)" in plan.split("PartitionFilters: [")[1]
+    assert recent.count() == 6  # days 25 to 30; the 24th at six lies before the 24th at noon
+
+
 def test_partitioned_write_makes_few_files_and_splits_hot_ones(spark, tmp_path):
     rows = spark.range(0, 60_000, 1, 8).selectExpr(
         "id", "IF(id % 3 = 0, 0, id % 9) AS day", "sha2(CAST(id AS STRING), 256) AS text"

@@ -5,7 +5,8 @@ import pytest
 import __spark_entry__ as entry
 from checks.compare import compare, oracle_connection
 
-QUERIES, ORACLES = entry.queries(), entry.oracle_sql()
+QUERIES = {name: query for m in entry.CORE for name, query in m.QUERIES.items()}
+ORACLES = {name: sql for m in entry.CORE for name, sql in m.ORACLES.items()}
 
 
 @pytest.fixture(scope="module")

@@ -136,7 +136,7 @@ def learning_rows(docs: DataFrame, text: str, label: str, key: str, per_language
     return [(r.label, np.asarray(r.grams), np.asarray(r.counts)) for r in got.itertuples()]
 
 
-def _softmax(z: np.ndarray) -> np.ndarray:
+def softmax(z: np.ndarray) -> np.ndarray:
     e = np.exp(z - z.max(axis=-1, keepdims=True))
     return e / e.sum(axis=-1, keepdims=True)
 
@@ -145,6 +145,7 @@ def train_ftrl(
     rows: list[tuple[int, np.ndarray, np.ndarray]],
     classes: int,
     *,
+    size: int = SIZE,
     alpha: float = 0.5,
     beta: float = 1.0,
     l1: float = 0.02,
@@ -155,7 +156,7 @@ def train_ftrl(
 
     ``l1`` leaves weights at exactly zero until the gradients gathered for them exceed it.
     """
-    z, n = np.zeros((SIZE + 1, classes)), np.zeros((SIZE + 1, classes))
+    z, n = np.zeros((size + 1, classes)), np.zeros((size + 1, classes))
 
     def current(at: np.ndarray) -> np.ndarray:
         zs = z[at]
@@ -164,15 +165,15 @@ def train_ftrl(
 
     for _ in range(epochs):
         for label, at, x in rows:
-            at, x = np.append(at, SIZE), np.append(x, 1.0)
+            at, x = np.append(at, size), np.append(x, 1.0)  # the bias
             w = current(at)
-            error = _softmax(x @ w)
+            error = softmax(x @ w)
             error[label] -= 1
             g = np.outer(x, error)
             sigma = (np.sqrt(n[at] + g * g) - np.sqrt(n[at])) / alpha
             z[at] += g - sigma * w
             n[at] += g * g
-    return current(np.arange(SIZE + 1))
+    return current(np.arange(size + 1))
 
 
 def fit_temperature(logits: np.ndarray, labels: np.ndarray) -> float:
@@ -181,7 +182,7 @@ def fit_temperature(logits: np.ndarray, labels: np.ndarray) -> float:
         return 1.0
 
     def loss(log_t: float) -> float:
-        p = _softmax(logits / np.exp(log_t))
+        p = softmax(logits / np.exp(log_t))
         return -np.log(np.maximum(p[np.arange(len(labels)), labels], 1e-12)).mean()
 
     low, high, step = np.log(0.05), np.log(20), (5**0.5 - 1) / 2
@@ -226,7 +227,7 @@ def predicted(text: Column, model: LanguageModel) -> Column:
             if found is None:
                 return UNDETERMINED, 1.0
             at, x = weigh(found, model.idf)
-            p = _softmax((x @ model.weights[at] + model.weights[SIZE]) / model.temperature)
+            p = softmax((x @ model.weights[at] + model.weights[SIZE]) / model.temperature)
             best = int(p.argmax())
             return model.languages[best], float(p[best])
 

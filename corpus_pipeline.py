@@ -42,7 +42,8 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One row of each group stays, that of least doc_id (then of least text hash)."""
-    docs = _documents(docs).withColumn("row_key", F.struct("doc_id", F.xxhash64("text").alias("h")))
+    key = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", F.xxhash64("text").alias("h"))
+    docs = _documents(docs).withColumn("row_key", key)
     found = simhash.near_duplicates(docs, simhash.SIMILAR, key="row_key")
     kept = found.where("row_key = component_id").groupBy("row_key").agg(F.count("*").alias("rows"))
     kept = stage(kept, "kept")  # decided once; read for both kinds of row below

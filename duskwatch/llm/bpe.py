@@ -11,7 +11,8 @@ looked up in a table that fills as pairs occur, so work is linear in the text.
 Words are kept with their result in a bounded table per task.
 
 Defined results: a null text is empty and gives no ids.  Special-token strings in a text become
-their ids, as the library does by default.  Rows are independent of each other.
+their ids, as the library does by default.  Characters younger than the library's Unicode tables may
+be cut into words differently.  Rows are independent of each other.
 """
 
 from __future__ import annotations

@@ -224,7 +224,7 @@ def top_k(
                     columns["vec"].append(raw)
                     columns["best"].append(row[top])
                     columns["ids"].append(ids[top])
-        return pd.DataFrame(columns)
+        return pd.DataFrame({k: pd.Series(v, dtype=object) for k, v in columns.items()})
 
     keys = ["group", "turn", "part"]
     solved = left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInPandas(

@@ -121,6 +121,8 @@ def learning_rows(docs: DataFrame, text: str, label: str, key: str, per_language
         for batch in batches:
             found = [vectors(t) for t in batch["text"].tolist()]
             kept = [i for i, f in enumerate(found) if f is not None]
+            if not kept:  # an empty column has no type that Arrow could turn into lists
+                continue
             yield pd.DataFrame(
                 {
                     "label": [batch["label"].iloc[i] for i in kept],

@@ -93,6 +93,8 @@ def fit(
 
     def words(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
+            if not len(batch):
+                continue
             yield pd.DataFrame(
                 {
                     "domain": batch["domain"],

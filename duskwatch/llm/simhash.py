@@ -110,7 +110,7 @@ def fingerprinted(text: Column, scheme: Scheme) -> Column:
                 hashes = shingle_hashes(value, scheme.words)
                 hashes = hashes if scheme.repeats else np.unique(hashes)
                 out.append(fingerprint(hashes, scheme.bits).view(np.int64))
-            yield pd.Series(out)
+            yield pd.Series(out, dtype=object)
 
     run.__annotations__ = {"batches": Iterator[pd.Series], "return": Iterator[pd.Series]}
     return F.pandas_udf(run, "array<long>").asNondeterministic()(text)
@@ -136,7 +136,7 @@ def _keys(prints: Column, scheme: Scheme) -> Column:
                 keys[:, i] = i
                 for block in combination:
                     keys[:, i] = (keys[:, i] << per) | values[:, block]
-            yield pd.Series(list(keys))
+            yield pd.Series(list(keys), dtype=object)
 
     run.__annotations__ = {"batches": Iterator[pd.Series], "return": Iterator[pd.Series]}
     return F.pandas_udf(run, "array<long>")(prints)

@@ -11,7 +11,7 @@ Hamming distance of each pair that meets is verified.  Linked texts form compone
   The distance limit is the one expected at 0.8.
 
 Equal fingerprints are one node, so copies cost one row before anything is joined.  Buckets of
-at most ``BUCKET`` nodes are paired within; larger ones never are.  For ``EXACT`` their nodes
+at most ``bucket`` nodes are paired within; larger ones never are.  For ``EXACT`` their nodes
 are linked through *centres*: two fingerprints differ in at most two bits just when some
 fingerprint is within one bit of both, so each sends itself to its 65 centres and is linked to
 the least node there - 65 rows a node, whatever the bucket's size, and nothing missed.  For
@@ -40,7 +40,6 @@ from duskwatch.llm.components import components
 from duskwatch.sources.staging import stage
 
 SEED = 42
-BUCKET = 64
 
 
 @dataclass(frozen=True)
@@ -51,6 +50,7 @@ class Scheme:
     together: int  # blocks that make a key
     distance: int  # at most so many bits differ
     repeats: bool  # whether a repeated shingle counts again
+    bucket: int  # nodes of which all pairs are compared
 
 
 def _distance_at(similarity: float, bits: int) -> int:
@@ -59,10 +59,13 @@ def _distance_at(similarity: float, bits: int) -> int:
     return round(bits * np.arccos(cosine) / np.pi)
 
 
-EXACT = Scheme(words=3, bits=64, block_bits=16, together=2, distance=2, repeats=True)
-SIMILAR = Scheme(
-    words=5, bits=2048, block_bits=24, together=1, distance=_distance_at(0.8, 2048), repeats=False
+EXACT = Scheme(
+    words=3, bits=64, block_bits=16, together=2, distance=2, repeats=True, bucket=64
 )
+SIMILAR = Scheme(
+    words=5, bits=2048, block_bits=24, together=1, distance=_distance_at(0.8, 2048), repeats=False,
+    bucket=12,
+)
 
 
 def shingle_hashes(text: str | None, words: int) -> np.ndarray:
@@ -184,8 +187,9 @@ def _verified(pairs: DataFrame, nodes: DataFrame, distance: int) -> DataFrame:
     return met.where(differing <= distance).select("a", "b")
 
 
-def links(nodes: DataFrame, scheme: Scheme, largest: int = BUCKET) -> DataFrame:
+def links(nodes: DataFrame, scheme: Scheme, largest: int | None = None) -> DataFrame:
     """Links (a, b) between ``nodes`` (node, print) that connect all that are close."""
+    largest = largest or scheme.bucket
     keys = nodes.select("node", _keys(F.col("print"), scheme).alias("keys"))
     following = F.concat(F.slice("keys", 2, F.size("keys")), F.slice("keys", 1, 1))
     rows = keys.select("node", F.explode(F.arrays_zip("keys", following.alias("next"))).alias("k"))
@@ -207,7 +211,7 @@ def near_duplicates(
     *,
     key: str = "doc_id",
     text: str = "text",
-    largest: int = BUCKET,
+    largest: int | None = None,
 ) -> DataFrame:
     """(``key``, print, component_id) for every row of ``docs``.
 

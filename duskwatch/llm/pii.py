@@ -1,7 +1,7 @@
 """Personal data: exact patterns, and a character LSTM-CRF that adds what they miss.
 
-The patterns give the *base* spans.  The tagger learns from spans that they label in at most
-``sample_documents`` documents (drawn by hash); a third of the phone numbers lose their country
+The patterns give the *base* spans.  The tagger learns from spans that they label in windows of
+about ``sample_documents`` documents (drawn by hash); a third of the phone numbers lose their country
 code in training, so that it learns the form and not the plus sign.  Every kind of personal data
 here holds a digit or an @; the tagger decodes overlapping windows over each stretch of text
 around such characters and no others.  Its spans are reconciled over the whole text - parts of
@@ -27,7 +27,7 @@ from duskwatch.llm.tagger import WINDOW, CharacterTagger
 
 KINDS = ("email", "ip", "card", "phone")
 SPANS = "array<struct<kind:string,start:int,end:int,exact:boolean>>"
-SAMPLE_DOCUMENTS = 2000
+SAMPLE_DOCUMENTS = 20_000
 MARGIN = 20  # characters of context around a digit or @
 STRIDE = WINDOW // 2
 
@@ -144,9 +144,12 @@ def plausible(text: str, span: Span) -> bool:
     return bool(re.fullmatch(r"[(+]?[0-9][\x20().0-9-]*[\x20().-][\x20().0-9-]*[0-9]", inner)) and is_phone(inner)
 
 
-def _training_windows(texts: list[str | None]) -> tuple[list[str], list[list[Span]]]:
+def _training_windows(
+    texts: list[str | None], turn_at: int = 0
+) -> tuple[list[str], list[list[Span]]]:
+    """Windows of texts with the base spans inside; windows that cut a span are left out."""
     shown, labels = [], []
-    for number, text in enumerate(t or "" for t in texts):
+    for number, text in enumerate((t or "" for t in texts), turn_at):
         base = base_spans(text)
         for turn, start in enumerate(windows(text)):
             piece = text[start : start + WINDOW]
@@ -173,15 +176,32 @@ def fit(
     sample_documents: int = SAMPLE_DOCUMENTS,
     most_windows: int = 3000,
 ) -> CharacterTagger:
-    """Train on at most ``sample_documents`` documents and ``most_windows`` windows of them."""
+    """Train on at most ``most_windows`` windows of about ``sample_documents`` documents.
+
+    The documents are those whose hash lies under the share that gives this number; tasks cut
+    them into labelled windows, which alone go to the driver.
+    """
+    share = min(1.0, sample_documents / max(docs.count(), 1))
     draw = F.xxhash64(F.col(key).cast("string"), F.col(text))
-    cued = docs.where(F.col(text).rlike("[0-9@]")).select(draw.alias("draw"), F.col(text).alias("text"))
-    rows = cued.orderBy("draw").limit(sample_documents).collect()
-    shown, labels = _training_windows([r["text"] for r in rows])
-    if len(shown) > most_windows:  # evenly from all of them
-        pick = np.linspace(0, len(shown) - 1, most_windows).astype(int)
-        shown, labels = [shown[i] for i in pick], [labels[i] for i in pick]
-    tagger = CharacterTagger(KINDS)
+    rows = docs.select(draw.alias("draw"), F.col(text).alias("text")).where(
+        (F.abs(F.col("draw") / F.lit(2.0**63)) <= share) & F.col("text").rlike("[0-9@]")
+    )
+
+    def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            out = []
+            for row in batch.itertuples(index=False):
+                for i, (piece, spans) in enumerate(zip(*_training_windows([row.text], row.draw % 3))):
+                    out.append((row.draw, i, piece, ",".join(f"{k}:{s}:{e}" for k, s, e in spans)))
+            yield pd.DataFrame(out, columns=["draw", "number", "piece", "spans"])
+
+    parts = rows.mapInPandas(cut, "draw long, number long, piece string, spans string")
+    parts = parts.orderBy(F.xxhash64("draw", "number"), "draw", "number", "piece").limit(most_windows)
+    tagger, shown, labels = CharacterTagger(KINDS), [], []
+    for r in parts.collect():
+        shown.append(r["piece"])
+        found = [s.split(":") for s in r["spans"].split(",") if s]
+        labels.append([(k, int(s), int(e)) for k, s, e in found])
     if shown:
         tagger.train(shown, labels)
     return tagger

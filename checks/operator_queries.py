@@ -371,14 +371,11 @@ def aggregate_conditional(spark, directory):
 
 
 @check("""
-    SELECT o_orderkey, o_orderstatus, o_orderpriority FROM orders
-    WHERE o_orderstatus = 'F' ORDER BY o_orderpriority DESC
+    SELECT o_orderkey, o_orderstatus, o_orderpriority FROM orders ORDER BY o_orderpriority DESC
 """)
 def sort_one(spark, directory):
     orders = table(spark, directory, "orders").select("o_orderkey", "o_orderstatus", "o_orderpriority")
-    return dw.sort_by_column(
-        dw.filter_column_by_value(orders, "o_orderstatus", "F"), "o_orderpriority", ascending=False
-    )
+    return dw.sort_by_column(orders, "o_orderpriority", ascending=False)
 
 
 @check("""

@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from duskwatch.functions.clock import AsOf
 from duskwatch.operators.filters import filter_by_relative_time
-from duskwatch.operators.relational import PART, in_parts, spread_join
+from duskwatch.operators.relational import spread_join
 from duskwatch.sources import schemas
 
 USER = "user"
@@ -84,15 +84,20 @@ def _replaced(df: DataFrame, changed: Sequence[str], *expressions: str) -> DataF
 def entity_footprint(logins: DataFrame, flagged: DataFrame, as_of: AsOf = None) -> DataFrame:
     """Distinct (user, dest_hostname, src_ip) of the flagged users' recent logins."""
     seen = _recent(logins, "date", as_of).selectExpr(
-        f"user_id AS `{USER}`", "dest_hostname", "src_ip"
+        f"CAST(user_id AS STRING) AS `{USER}`", "dest_hostname", "src_ip"
     )
     return seen.distinct().join(flagged.select(USER), USER, "left_semi")
 
 
 def staff_profiles(workday: DataFrame) -> DataFrame:
-    """One post per employee: the smallest where there are several, or users would repeat."""
-    posts = workday.groupBy(F.col("employee").alias(USER)).agg(
-        F.expr("min(struct(department, title)) AS post")
+    """One post per employee: the smallest where there are several, or users would repeat.
+
+    A post without department or title counts only where there is no fuller one.
+    """
+    posts = workday.groupBy(F.col("employee").cast("string").alias(USER)).agg(
+        F.expr(
+            "min(struct(department IS NULL, title IS NULL, department, title)) AS post"
+        )
     )
     return posts.select(USER, "post.department", "post.title")
 
@@ -160,7 +165,7 @@ def dlp_counts(flagged: DataFrame, dlp: DataFrame, as_of: AsOf = None) -> DataFr
     return (
         _recent(dlp, "timestamp", as_of)
         .where(F.col("action") == schemas.DLP_ALLOWED)
-        .groupBy(USER)
+        .groupBy(F.col(USER).cast("string").alias(USER))
         .agg(
             F.expr("count_if(risk = 'High') AS dlp_high"),
             F.expr("count_if(risk = 'Medium') AS dlp_medium"),
@@ -196,14 +201,12 @@ URL_COUNTS = ("url_hits", "url_domains")
 def url_counts(footprint: DataFrame, url_filtering: DataFrame, as_of: AsOf = None) -> DataFrame:
     """Malware requests from each user's addresses, and their distinct domains.
 
-    A user with one address has exactly that address's domains, so a gateway shared by many
-    such users is counted once and never multiplied out.  Only users with several addresses
-    need the union of domain sets.
+    The domains behind a user's addresses are a union of sets.  Addresses that several users
+    share are united once for each distinct combination of them, however many users have it; an
+    address of one user alone adds those of its domains that the combination lacks.  So no
+    gateway is multiplied out by its users.
     """
-    addresses = _pairs(footprint, "src_ip", "ip_address")
-    sizes = addresses.groupBy(USER).agg(F.expr("count(1) > 1 AS several"))
-    owned = addresses.join(sizes, USER)
-
+    addresses = _pairs(footprint, "src_ip", "ip_address").where("ip_address IS NOT NULL")
     per_domain = (
         _recent(url_filtering, "date", as_of)
         .where(F.col("url_category") == schemas.URL_MALWARE)
@@ -211,25 +214,45 @@ def url_counts(footprint: DataFrame, url_filtering: DataFrame, as_of: AsOf = Non
         .agg(F.expr("count(1) AS hits"))
         .join(addresses.select("ip_address").distinct(), "ip_address", "left_semi")
     )
-    # Both levels from one pass: the domains of an address, for users with several addresses,
-    # and the address as a whole, for users with this one.
-    levels = per_domain.groupingSets(
-        [["ip_address", "domain"], ["ip_address"]], "ip_address", "domain"
-    ).agg(
-        F.expr("sum(hits) AS hits"),
-        F.expr("count(1) AS domains"),
-        F.expr("grouping(domain) = 0 AS several"),
+    holders = addresses.groupBy("ip_address").agg(F.expr("count(1) > 1 AS shared"))
+    held = spread_join(addresses, holders, "ip_address", USER)
+    combined = held.groupBy(USER).agg(
+        F.expr("sort_array(collect_set(CASE WHEN shared THEN ip_address END)) AS combination")
     )
-    # Hot addresses are divided on the side with many rows: by domain when users bring several
-    # addresses, by user when the address is one row.
-    met = in_parts(levels, "domain", copy_if="NOT several").join(
-        in_parts(owned, USER, copy_if="several"), ["ip_address", "several", PART]
+    in_common = (
+        combined.select("combination").distinct()
+        .selectExpr("combination", "explode(combination) AS ip_address")
+        .join(per_domain, "ip_address")
+        .groupBy("combination", "domain")
+        .agg(F.expr("sum(hits) AS common_hits"))
+    )
+    common = in_common.groupBy("combination").agg(
+        F.expr("sum(common_hits) AS common_hits"), F.expr("count(1) AS common_domains")
+    )
+    alone = (
+        held.where("NOT shared")
+        .join(per_domain, "ip_address")
+        .groupBy(USER, "domain")
+        .agg(F.expr("sum(hits) AS hits"))
+        .join(combined, USER)
+    )
+    known = in_common.selectExpr("combination", "domain AS known_domain", "common_hits")
+    # null is a domain like any other here
+    same = (alone["combination"] == known["combination"]) & alone["domain"].eqNullSafe(
+        known["known_domain"]
+    )
+    own = alone.join(known, same, "left").groupBy(USER).agg(
+        F.expr("sum(hits) AS own_hits"), F.expr("count_if(common_hits IS NULL) AS own_domains")
     )
     return (
-        met.groupBy(USER, "domain")
-        .agg(F.expr("sum(hits) AS hits"), F.expr("max(domains) AS domains"))
-        .groupBy(USER)
-        .agg(F.expr("sum(hits) AS url_hits"), F.expr("sum(domains) AS url_domains"))
+        spread_join(combined, common, "combination", USER, "left")
+        .join(own, USER, "left")
+        .selectExpr(
+            f"`{USER}`",
+            "coalesce(common_hits, 0L) + coalesce(own_hits, 0L) AS url_hits",
+            "coalesce(common_domains, 0L) + coalesce(own_domains, 0L) AS url_domains",
+        )
+        .where("url_hits > 0")
     )
 
 

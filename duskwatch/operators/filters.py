@@ -65,7 +65,8 @@ def filter_columns_by_date_ranges(df: DataFrame, filters: Mapping[str, Any]) ->
     for name, ranges in filters.items():
         if len(ranges) == 0:
             raise ValueError(f"no date range given for column {name!r}")
-        pairs = ranges if isinstance(ranges[0], tuple) else [tuple(ranges)]
+        several = isinstance(ranges[0], Sequence) and not isinstance(ranges[0], str)
+        pairs = [tuple(pair) for pair in ranges] if several else [tuple(ranges)]
         tests.append(either(within(df, name, low, high) for low, high in pairs))
     return df.where(every(tests))
 

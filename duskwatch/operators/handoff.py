@@ -95,16 +95,16 @@ def _conform(df: DataFrame, schema: T.StructType) -> DataFrame:
 
 
 def alert_rows(detections: DataFrame, as_of: AsOf = None, first_id: int = 1) -> DataFrame:
-    """Detections in the alert table's schema."""
+    """Detections in the alert table's schema; what no rule tells (category, tags) is null."""
     described = detections.select(
         _at(as_of),
         F.col("rule_name").alias("alert_name"),
         F.concat_ws(": ", "rule_name", "entity").alias("alert_desc"),
         F.lit("Open").alias("alert_status"),
         F.lit("System").alias("alert_source"),
-        F.lit("Access").alias("alert_category"),
-        F.lit("Size").alias("alert_subcategory"),
-        F.lit("high").alias("tags"),
+        F.lit(None).alias("alert_category"),
+        F.lit(None).alias("alert_subcategory"),
+        F.lit(None).alias("tags"),
         F.col("entity").alias("entity_id"),
         "entity_type",
         F.col("details").alias("alert_details"),
@@ -138,7 +138,7 @@ def needing_response(findings: DataFrame) -> DataFrame:
 
 def response_actions(findings: DataFrame, users: DataFrame) -> DataFrame:
     """Accounts to disable, with their directory id; null where the directory has no such user."""
-    directory = users.groupBy(F.col("Username").alias(USER)).agg(F.min("ID").alias("directory_id"))
+    directory = users.groupBy(F.col("Username").cast("string").alias(USER)).agg(F.min("ID").alias("directory_id"))
     return (
         needing_response(findings)
         .select(USER, "trigger_event")

@@ -6,10 +6,12 @@ from collections import Counter
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import types as T
 
 from duskwatch.functions.literals import quoted
 
-SPREAD = 16
+# Rows of one key that a task takes before the key is divided; changes cost only.
+PART_ROWS = 500_000
 PART = "__part"
 
 
@@ -38,7 +40,7 @@ def with_surrogate_ids(
 
     Gaps are the price of not funnelling every row through one task.
     """
-    ordered = df.orderBy(*order_by) if order_by else df
+    ordered = df.orderBy(*order_by, *_tie_breaker(df)) if order_by else df
     return ordered.withColumn(id_column, F.monotonically_increasing_id() + F.lit(start))
 
 
@@ -58,19 +60,29 @@ def sort_by_columns(
     if len(names) != len(directions):
         raise AssertionError(f"{len(names)} sort columns but {len(directions)} directions")
     keys = [F.asc(name) if up else F.desc(name) for name, up in zip(names, directions)]
-    return df.orderBy(*keys, *_tie_breaker(df))
+    return df.orderBy(*keys, *_tie_breaker(df, names))
 
 
-def _tie_breaker(df: DataFrame) -> list[Column]:
+def _tie_breaker(df: DataFrame, keys: Sequence[str] = ()) -> list[Column]:
     # A sort cuts the data into ranges of the sort key, and rows that tie cannot be cut apart:
     # a value owning a third of the table would become one task.  Ties have no promised order,
-    # so ordering them by a hash of the row gives the cut something to work with.
-    names = [f.name for f in df.schema if "map<" not in f.dataType.simpleString()]
+    # so ordering them by a hash of the other columns gives the cut something to work with.
+    known = {k.lower() for k in keys}
+    names = [f.name for f in df.schema if _hashable(f.dataType) and f.name.lower() not in known]
     repeated = {n for n, count in Counter(c.lower() for c in df.columns).items() if count > 1}
     usable = [F.col(quoted(n)) for n in names if n.lower() not in repeated]
     return [F.xxhash64(*usable)] if usable else []
 
 
+def _hashable(kind: T.DataType) -> bool:
+    """Whether Spark can hash values of a type: no maps or variants, at any depth."""
+    if isinstance(kind, T.StructType):
+        return all(_hashable(f.dataType) for f in kind)
+    if isinstance(kind, T.ArrayType):
+        return _hashable(kind.elementType)
+    return not isinstance(kind, (T.MapType, T.VariantType))
+
+
 def join_tables(df1: DataFrame, df2: DataFrame, join_column: str | Sequence[str]) -> DataFrame:
     """Inner join on equally named column(s), which appear once in the result.
 
@@ -80,29 +92,38 @@ def join_tables(df1: DataFrame, df2: DataFrame, join_column: str | Sequence[str]
     return df1.join(df2, on=join_column, how="inner")
 
 
-def in_parts(df: DataFrame, by: str, copy_if: str = "FALSE") -> DataFrame:
-    """Number rows with one of ``SPREAD`` parts by a hash of ``by``.
-
-    Rows meeting the SQL condition ``copy_if`` are repeated in every part instead.
-    """
-    own = f"array(CAST(pmod(xxhash64({quoted(by)}), {SPREAD}) AS INT))"
-    return df.selectExpr(
-        "*", f"explode(if({copy_if}, sequence(0, {SPREAD - 1}), {own})) AS {PART}"
-    )
-
-
 def spread_join(
-    split: DataFrame, copied: DataFrame, key: str, by: str, how: str = "inner"
+    split: DataFrame,
+    copied: DataFrame,
+    key: str,
+    by: str,
+    how: str = "inner",
+    target: int = PART_ROWS,
 ) -> DataFrame:
-    """Equi-join in which a hot ``key`` of ``split`` is worked on by ``SPREAD`` tasks.
+    """Equi-join in which a hot ``key`` of ``split`` is worked on by several tasks.
 
-    Each key's rows are divided by the value of ``by``, and ``copied`` is repeated once per
-    part; it should be the small side, with few rows per key.  Adaptive execution divides skewed
-    keys too, but only where both inputs come straight from a shuffle, which an aggregate on the
-    join key does not.
+    A key with more than ``target`` rows in ``split`` gets one part for each ``target`` of them:
+    its rows are divided by a hash of ``by``, and its rows of ``copied`` (few, or one) repeated
+    for each part.  All other keys have one part and nothing of theirs is repeated.  Adaptive
+    execution divides skewed keys too, but only where both inputs come straight from a shuffle,
+    which an aggregate on the join key does not.
     """
-    joined = in_parts(split, by).join(in_parts(copied, key, copy_if="TRUE"), [key, PART], how)
-    return joined.drop(PART)
+    k = quoted(key)
+    sizes = split.groupBy(key).agg(F.expr("count(1) AS __rows"))
+    hot = sizes.where(f"__rows > {target} AND {k} IS NOT NULL").selectExpr(
+        k, f"CAST(ceil(__rows / {target}) AS INT) AS __parts"
+    )
+    # at most one hot key for each ``target`` rows, so this side is small by construction
+    hot = F.broadcast(hot)
+    divided = split.join(hot, key, "left").selectExpr(
+        *[quoted(c) for c in split.columns],
+        f"CAST(pmod(xxhash64({quoted(by)}), coalesce(__parts, 1)) AS INT) AS {PART}",
+    )
+    repeated = copied.join(hot, key, "left").selectExpr(
+        *[quoted(c) for c in copied.columns],
+        f"explode(sequence(0, coalesce(__parts, 1) - 1)) AS {PART}",
+    )
+    return divided.join(repeated, [key, PART], how).drop(PART)
 
 
 def aggregate_data(

@@ -72,8 +72,9 @@ def test_surrogate_ids_follow_the_order(df):
 def test_spread_join_equals_a_plain_join(spark, rows, how):
     split = spark.range(500).selectExpr("IF(id % 3 = 0, 0, id % 40) AS k", "id AS u")
     copied = spark.range(20).selectExpr("id % 10 AS k", "id AS w")
-    spread = spread_join(split, copied, "k", "u", how)
-    assert rows(spread) == rows(split.join(copied, "k", how))
+    expected = rows(split.join(copied, "k", how))
+    for target in (20, 1_000):
+        assert rows(spread_join(split, copied, "k", "u", how, target=target)) == expected
 
 
 def test_ties_of_a_sort_are_cut_apart(spark):

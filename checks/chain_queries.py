@@ -17,6 +17,7 @@ from checks.operator_queries import table
 from duskwatch.operators import evidence, handoff
 from duskwatch.operators.evidence import Tiers
 from duskwatch.operators.rules import statistically_significant_window_by_std
+from duskwatch.plans import response_chain
 from duskwatch.plans.response_chain import SecurityTables, investigate
 from duskwatch.sources.staging import stage
 
@@ -56,7 +57,8 @@ _LOGS = {
         "CASE WHEN value >= 90 AND value < 200 THEN 'Blocked' ELSE 'Allowed' END AS action",
     ]),
     "url_filtering": ("view", [
-        "ts AS date", "props AS ip_address", "user_id AS domain",
+        "ts AS date", "props AS ip_address",
+        "CASE WHEN value >= 5 THEN user_id END AS domain",
         "CASE WHEN value < 45 THEN 'Malware' ELSE 'Business' END AS url_category",
     ]),
 }
@@ -106,14 +108,28 @@ def _footprint(tables: SecurityTables, flagged: DataFrame) -> DataFrame:
 _COUNTS = ["av_events", "av_detected", "av_cleaned", "av_failed"]
 _COUNTS_SQL = ", ".join(f"coalesce({c}, 0) AS {c}" for c in _COUNTS)
 
-_COMMON = f"""
-    WITH flagged AS (
-      SELECT CAST(user_id AS VARCHAR) AS "user" FROM events GROUP BY user_id HAVING count(*) > {BUSY}
-    ), user_logins AS ({_log_sql("user_logins")}), antivirus AS ({_log_sql("antivirus")}),
+_SCALED = (
+    "WHEN dlp_high > 0 OR dlp_medium > 2 OR dlp_low > 5 THEN 'High'"
+    " WHEN dlp_medium > 1 OR dlp_low > 3 THEN 'Medium'",
+    "WHEN url_hits > 12 AND url_domains > 1 THEN 'High'"
+    " WHEN (url_hits > 8 AND url_domains > 1) OR url_domains = 1 THEN 'Medium' ELSE 'Low'",
+)
+_SHIPPED = (
+    "WHEN dlp_high > 0 OR dlp_medium > 10 OR dlp_low > 100 THEN 'High'"
+    " WHEN dlp_medium > 5 OR dlp_low > 50 THEN 'Medium'",
+    "WHEN url_hits > 100 AND url_domains > 1 THEN 'High'"
+    " WHEN (url_hits > 50 AND url_domains > 1) OR url_domains = 1 THEN 'Medium' ELSE 'Low'",
+)
+
+
+def _investigation_sql(flagged: str, since: str, tiers: tuple[str, str]) -> str:
+    """Findings about the users of ``flagged``, the last of the tables that ``flagged`` defines."""
+    return f"""
+    WITH {flagged}, user_logins AS ({_log_sql("user_logins")}), antivirus AS ({_log_sql("antivirus")}),
     dlp AS ({_log_sql("dlp")}), url_filtering AS ({_log_sql("url_filtering")}),
     footprint AS (
       SELECT DISTINCT user_id AS "user", dest_hostname, src_ip FROM user_logins
-      WHERE date >= TIMESTAMP '2024-01-24' AND user_id IN (SELECT "user" FROM flagged)
+      WHERE date >= TIMESTAMP '{since}' AND user_id IN (SELECT "user" FROM flagged)
     ), hosts AS (SELECT DISTINCT "user", dest_hostname FROM footprint),
     addresses AS (SELECT DISTINCT "user", src_ip FROM footprint),
     av_counts AS (
@@ -122,7 +138,7 @@ _COMMON = f"""
         count(*) FILTER (WHERE event_type = 'MALWAREPROTECTION_MALWARE_ACTION_TAKEN') AS av_cleaned,
         count(*) FILTER (WHERE event_type = 'MALWAREPROTECTION_MALWARE_ACTION_FAILED') AS av_failed
       FROM hosts h LEFT JOIN antivirus a
-        ON a.hostname = h.dest_hostname AND a.time >= TIMESTAMP '2024-01-24'
+        ON a.hostname = h.dest_hostname AND a.time >= TIMESTAMP '{since}'
       GROUP BY h."user"
     ), av AS (
       SELECT f."user", av_events, av_detected, av_cleaned, av_failed,
@@ -140,24 +156,22 @@ _COMMON = f"""
         count(*) FILTER (WHERE risk = 'Medium') AS dlp_medium,
         count(*) FILTER (WHERE risk = 'Low') AS dlp_low
       FROM flagged f LEFT JOIN dlp d
-        ON f."user" = d."user" AND d.action = 'Allowed' AND d."timestamp" >= TIMESTAMP '2024-01-24'
+        ON f."user" = d."user" AND d.action = 'Allowed' AND d."timestamp" >= TIMESTAMP '{since}'
       GROUP BY f."user"
     ), dlp_rated AS (
-      SELECT *, CASE WHEN dlp_high > 0 OR dlp_medium > 2 OR dlp_low > 5 THEN 'High'
-                     WHEN dlp_medium > 1 OR dlp_low > 3 THEN 'Medium' END AS dlp_risk,
+      SELECT *, CASE {tiers[0]} END AS dlp_risk,
         concat('let through: ', dlp_high, ' high, ', dlp_medium, ' medium, ', dlp_low, ' low')
           AS dlp_message
       FROM dlp_counts
     ), url_counts AS (
-      SELECT f."user", count(u.ip_address) AS url_hits, count(DISTINCT u.domain) AS url_domains
+      SELECT f."user", count(u.ip_address) AS url_hits, count(DISTINCT u.domain)
+          + max(CASE WHEN u.ip_address IS NOT NULL AND u.domain IS NULL THEN 1 ELSE 0 END) AS url_domains
       FROM flagged f LEFT JOIN addresses a ON f."user" = a."user"
       LEFT JOIN url_filtering u ON u.ip_address = a.src_ip AND u.url_category = 'Malware'
-        AND u.date >= TIMESTAMP '2024-01-24'
+        AND u.date >= TIMESTAMP '{since}'
       GROUP BY f."user"
     ), url AS (
-      SELECT *, CASE WHEN url_hits > 12 AND url_domains > 1 THEN 'High'
-                     WHEN (url_hits > 8 AND url_domains > 1) OR url_domains = 1 THEN 'Medium'
-                     ELSE 'Low' END AS url_risk,
+      SELECT *, CASE {tiers[1]} END AS url_risk,
         concat(url_hits, ' malware requests to ', url_domains, ' domains') AS url_message
       FROM url_counts
     ), profile AS (
@@ -181,6 +195,14 @@ _COMMON = f"""
 """
 
 
+_COMMON = _investigation_sql(
+    f"""flagged AS (
+      SELECT CAST(user_id AS VARCHAR) AS "user" FROM events GROUP BY user_id HAVING count(*) > {BUSY}
+    )""",
+    "2024-01-24", _SCALED,
+)
+
+
 def check(sql: str):
     def register(query):
         QUERIES[query.__name__] = query
@@ -259,19 +281,26 @@ def verdict_severity_counts(spark, directory):
     )
 
 
-@check(_COMMON + """
+_ENTRIES = [
+    "department", "title", "av_events", "av_detected", "av_cleaned", "av_failed", "av_risk",
+    "av_message", "dlp_high", "dlp_medium", "dlp_low", "dlp_risk", "dlp_message", "url_hits",
+    "url_domains", "url_risk", "url_message", "high_count", "severity", "recommendation",
+]
+_ENTRIES_SQL = ", ".join(f"coalesce(CAST({c} AS VARCHAR), 'none') AS {c}" for c in _ENTRIES)
+
+
+@check(_COMMON + f"""
     SELECT TIMESTAMP '2024-01-31' AS date, 'Suspicious user' AS investigation_name,
            'complete' AS status, concat(severity, ': ', recommendation) AS status_message,
-           "user" AS entity, 'username' AS entity_type, CAST(url_hits AS VARCHAR) AS url_hits,
-           av_risk, dlp_message
+           "user" AS entity, 'username' AS entity_type, {_ENTRIES_SQL}
     FROM findings
 """)
 def verdict_investigation_rows(spark, directory):
     rows = handoff.investigation_rows(_findings(spark, directory), AS_OF)
-    parts = ["entity", "entity_type", "url_hits", "av_risk", "dlp_message"]
+    entries = [F.coalesce(F.col("data")[c], F.lit("none")).alias(c) for c in _ENTRIES]
     return rows.select(
         F.col("date").cast("timestamp_ntz").alias("date"), "investigation_name", "status",
-        "status_message", *[F.col("data")[part].alias(part) for part in parts],
+        "status_message", *[F.col("data")[c].alias(c) for c in ("entity", "entity_type")], *entries,
     )
 
 
@@ -287,7 +316,7 @@ _SURGE_DAY = "2024-01-30 12:00:00"
 
 def _surge_sql(source: str, entity: str) -> str:
     return f"""
-      SELECT {entity} AS entity, (cur - m) / d AS score, cur FROM (
+      SELECT {entity} AS entity, (cur - m) / d AS score, cur, m, d, days FROM (
         SELECT {entity}, CAST(sum(CASE WHEN day = DATE '2024-01-30' THEN n ELSE 0 END) AS BIGINT) AS cur,
                avg(CASE WHEN day < DATE '2024-01-30' THEN n ELSE 0 END) AS m,
                stddev_samp(CASE WHEN day < DATE '2024-01-30' THEN n ELSE 0 END) AS d,
@@ -298,18 +327,20 @@ def _surge_sql(source: str, entity: str) -> str:
     """
 
 
-_ALERTS = f"""
-    WITH sharepoint AS ({_log_sql("sharepoint")}), email AS ({_log_sql("email")}),
+def _alerts_sql(manual: str = "") -> str:
+    return f"""
+    sharepoint AS ({_log_sql("sharepoint")}), email AS ({_log_sql("email")}),
     identity AS (
       SELECT CAST(c_custkey AS VARCHAR) AS "user", concat('u', c_custkey, '@example.com') AS email,
              c_name AS directory_id
       FROM customer WHERE c_acctbal >= 0
     ), found AS (
-      SELECT 'Unusual document access' AS rule_name, entity, 'user' AS entity_type, score, cur
+      SELECT 'Unusual document access' AS rule_name, entity, 'user' AS entity_type, score, cur, m, d, days
       FROM ({_surge_sql("sharepoint", "user_id")}) a
       UNION ALL
-      SELECT 'Unusual mail volume', entity, 'email', score, cur
+      SELECT 'Unusual mail volume', entity, 'email', score, cur, m, d, days
       FROM ({_surge_sql("email", "sender")}) b
+      {manual}
     ), detections AS (
       SELECT f.*, coalesce(i."user", f.entity) AS "user",
              f.entity_type = 'user' OR i."user" IS NOT NULL AS resolved
@@ -322,6 +353,9 @@ _ALERTS = f"""
 """
 
 
+_ALERTS = f"WITH {_alerts_sql()} "
+
+
 def _detections(spark: SparkSession, directory: str) -> DataFrame:
     tables = _tables(spark, directory)
     surge = partial(
@@ -365,16 +399,29 @@ def handoff_flagged_users(spark, directory):
     return handoff.flagged_users(_detections(spark, directory))
 
 
+_DETAILS = ["events_in_last_day", "events_before_last_day_mean", "events_before_last_day_std",
+            "no_day_with_events", "z_score"]
+
+
 @check(_ALERTS + """
-    SELECT rule_name AS alert_name, concat(rule_name, ': ', entity) AS alert_desc,
-           'Open' AS alert_status, entity AS entity_id, entity_type,
-           CAST(cur AS VARCHAR) AS surge
+    SELECT TIMESTAMP '2024-01-31' AS date, rule_name AS alert_name,
+           concat(rule_name, ': ', entity) AS alert_desc, 'Open' AS alert_status,
+           'System' AS alert_source, 'none' AS alert_category, 'none' AS alert_subcategory,
+           'none' AS tags, entity AS entity_id, entity_type, round(CAST(cur AS DOUBLE), 6) AS events_in_last_day,
+           round(m, 6) AS events_before_last_day_mean, round(d, 6) AS events_before_last_day_std,
+           CAST(days AS DOUBLE) AS no_day_with_events, round(score, 6) AS z_score
     FROM detections
 """)
 def handoff_alert_rows(spark, directory):
-    return handoff.alert_rows(_detections(spark, directory), AS_OF).select(
-        "alert_name", "alert_desc", "alert_status", "entity_id", "entity_type",
-        F.col("alert_details")["events_in_last_day"].alias("surge"),
+    rows = handoff.alert_rows(_detections(spark, directory), AS_OF)
+    unknown = [
+        F.coalesce(F.col(c).cast("string"), F.lit("none")).alias(c)
+        for c in ("alert_category", "alert_subcategory", "tags")
+    ]
+    return rows.select(
+        F.col("date").cast("timestamp_ntz").alias("date"), "alert_name", "alert_desc",
+        "alert_status", "alert_source", *unknown, "entity_id", "entity_type",
+        *[F.round(F.col("alert_details")[c].cast("double"), 6).alias(c) for c in _DETAILS],
     )
 
 
@@ -420,3 +467,54 @@ def handoff_response_rows(spark, directory):
     return handoff.response_rows(actions, tables.identity).drop("ID")
 
 
+# --- the whole chain -----------------------------------------------------------------------
+
+_MANUAL = ["17", "42", "nobody@example.com"]
+_CHAIN = _alerts_sql(
+    " ".join(f"UNION ALL SELECT 'Manual request', '{u}', 'user', NULL, NULL, NULL, NULL, NULL" for u in _MANUAL)
+)
+
+
+def _chain(spark: SparkSession, directory: str, **tiers: Tiers) -> response_chain.ChainResult:
+    return response_chain.run(
+        _tables(spark, directory), _SURGE_DAY, _MANUAL, limits=_SURGE, **tiers
+    )
+
+
+@check(f"WITH {_CHAIN}" + """
+    SELECT rule_name, entity, entity_type, round(score, 6) AS score, "user", resolved FROM detections
+""")
+def chain_detections(spark, directory):
+    """Both rules over their logs, and users named by an analyst."""
+    found = response_chain.detect(_tables(spark, directory), _SURGE_DAY, _MANUAL, limits=_SURGE)
+    return found.select(
+        "rule_name", "entity", "entity_type", F.round("score", 6).alias("score"), "user", "resolved"
+    )
+
+
+_FOUND = f"""
+    SELECT n.* REPLACE ({_COUNTS_SQL}), f.trigger_event, f.resolved
+    FROM findings n JOIN flagged f ON n."user" = f."user"
+"""
+
+
+@check(_investigation_sql(_CHAIN, "2024-01-23 12:00:00", _SCALED) + _FOUND)
+def chain_findings(spark, directory):
+    result = _chain(spark, directory, dlp_tiers=DLP_TIERS, url_tiers=URL_TIERS)
+    return result.findings.fillna(0, _COUNTS)
+
+
+@check(_investigation_sql(_CHAIN, "2024-01-23 12:00:00", _SHIPPED) + _FOUND)
+def chain_findings_shipped_tiers(spark, directory):
+    return _chain(spark, directory).findings.fillna(0, _COUNTS)
+
+
+@check(_investigation_sql(_CHAIN, "2024-01-23 12:00:00", _SCALED) + """
+    SELECT n."user" AS "UserName", i.email AS "UserEmail", f.trigger_event AS "TriggerEvent",
+           'Disable User' AS "ResponseAction"
+    FROM findings n JOIN flagged f ON n."user" = f."user" JOIN identity i ON n."user" = i."user"
+    WHERE severity = 'high'
+""")
+def chain_responses(spark, directory):
+    result = _chain(spark, directory, dlp_tiers=DLP_TIERS, url_tiers=URL_TIERS)
+    return result.responses.drop("ID")

@@ -9,8 +9,10 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable
+from datetime import timedelta
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql.window import Window
 
 import duskwatch as dw
 from duskwatch.operators.relational import (
@@ -73,6 +75,21 @@ def point_lookup(spark, directory):
     )
 
 
+@check("""
+    SELECT o_orderkey, o_orderstatus, CAST(NULL AS VARCHAR) AS o_orderpriority FROM orders
+    WHERE o_orderstatus = 'F'
+    UNION ALL
+    SELECT o_orderkey, o_orderstatus, o_orderpriority FROM orders
+""")
+def write_merged_schema(spark, directory):
+    """A table of fewer columns, rows with one more added, both read under the wider schema."""
+    orders = table(spark, directory, "orders")
+    path = f"{shared_folder(spark)}/merged-{uuid.uuid4().hex}"
+    overwrite(orders.where("o_orderstatus = 'F'").select("o_orderkey", "o_orderstatus"), path)
+    append(orders.select("o_orderkey", "o_orderstatus", "o_orderpriority"), path)
+    return read_path(spark, path, merge_schema=True)
+
+
 @check("""
     SELECT user_id, count(*) AS n, max(ts) AS last_seen FROM events GROUP BY user_id
     UNION ALL
@@ -118,24 +135,25 @@ def derived_outcome(spark, directory):
     )
 
 
-@check("SELECT event_id, 1 AS unit FROM events")
-def constant_column(spark, directory):
-    return table(spark, directory, "events").select("event_id", F.lit(1).alias("unit"))
-
-
 @check("""
-    SELECT count(*) AS n_rows, count(*) AS n_ids, 5021 AS lowest_id FROM orders
+    SELECT o_orderdate, count(*) AS n_rows, count(*) AS n_ids, TRUE AS before_next_date
+    FROM orders GROUP BY o_orderdate
 """)
 def surrogate_ids(spark, directory):
-    # Ids differ with the partitioning; what must hold is that they are unique and start right.
+    """Ids are unique and rise with the sort order; they are not consecutive."""
     numbered = with_surrogate_ids(
         table(spark, directory, "orders").select("o_orderdate"), "id", "o_orderdate", start=5021
     )
-    return numbered.agg(
+    by_date = numbered.groupBy("o_orderdate").agg(
         F.count(F.lit(1)).alias("n_rows"),
         F.countDistinct("id").alias("n_ids"),
-        F.min("id").cast("int").alias("lowest_id"),
+        F.min("id").alias("first"),
+        F.max("id").alias("last"),
     )
+    dates = Window.orderBy("o_orderdate")  # one row for each day of the calendar
+    following = F.lead("first", 1, 2**63 - 1).over(dates)
+    rising = (F.col("last") < following) & (F.col("first") >= 5021)
+    return by_date.select("o_orderdate", "n_rows", "n_ids", rising.alias("before_next_date"))
 
 
 # --- filters -------------------------------------------------------------------------------
@@ -363,10 +381,10 @@ def aggregate_all(spark, directory):
     FROM events GROUP BY user_id
 """)
 def aggregate_conditional(spark, directory):
-    return table(spark, directory, "events").groupBy("user_id").agg(
-        F.count(F.lit(1)).alias("n"),
-        F.count_if(F.col("event_type") == "error").alias("n_errors"),
-        F.countDistinct("props").alias("n_props"),
+    return dw.aggregate_data(
+        table(spark, directory, "events"), ["user_id"], ["event_id", "event_type", "props"],
+        [F.count, lambda kind: F.count_if(F.col(kind) == "error"), F.countDistinct],
+        ["n", "n_errors", "n_props"],
     )
 
 
@@ -418,6 +436,12 @@ def rule_threshold_ungrouped(spark, directory):
     )
 
 
+@check("SELECT *, 1 AS sum_column_tmp FROM events")
+def rule_threshold_rows(spark, directory):
+    """Neither group nor sum: every row counts as one."""
+    return dw.threshold_based_rule(table(spark, directory, "events"), 0)
+
+
 @check("""
     SELECT user_id, event_type, count(*) AS count_column_tmp_total
     FROM events GROUP BY user_id, event_type HAVING count(*) > 18
@@ -618,3 +642,15 @@ def rule_own_history_from_totals(spark, directory):
         current_window_is_multiple_of_mean=1.5, as_of="2024-01-30 12:00:00",
     )
     return _window_rounded(found, "day")
+
+
+@check(_window_sql("(SELECT * FROM events WHERE ts >= TIMESTAMP '2024-01-20') e",
+                   "user_id", "ts", "day", "2024-01-30 12:00:00", 1.5, 3, 1.5))
+def rule_own_history_lookback(spark, directory):
+    """The history reaches back ten days; the bound is pushed to the scan."""
+    found = dw.statistically_significant_window_by_std(
+        table(spark, directory, "events"), "user_id", "ts", z_score_threshold=1.5,
+        no_minimum_window_events=3, current_window_is_multiple_of_mean=1.5,
+        as_of="2024-01-30 12:00:00", lookback=timedelta(days=10),
+    )
+    return _window_rounded(found, "day")

@@ -8,15 +8,19 @@ Logs are reduced to one row per user, host or address *before* they meet the fla
 a noisy host is a single row by the time it is joined.  The semi-joins sit above those
 reductions: when the flagged side is small enough to broadcast, Spark moves them below, and
 the reduction then only sees rows that matter.
+
+``day_column``, where given, names the column by which a log's folders are divided by day: folders
+older than the look-back are then not opened.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from datetime import timedelta
 
 from pyspark.sql import DataFrame, functions as F
 
-from duskwatch.functions.clock import AsOf
+from duskwatch.functions.clock import AsOf, in_days_since, wall_clock
 from duskwatch.operators.filters import filter_by_relative_time
 from duskwatch.operators.relational import spread_join
 from duskwatch.sources import schemas
@@ -65,7 +69,11 @@ def attach(flagged: DataFrame, per_user: DataFrame) -> DataFrame:
     return flagged.join(per_user, USER, "left")
 
 
-def _recent(log: DataFrame, time_column: str, as_of: AsOf) -> DataFrame:
+def _recent(
+    log: DataFrame, time_column: str, as_of: AsOf, day_column: str | None = None
+) -> DataFrame:
+    if day_column is not None:
+        log = in_days_since(log, day_column, wall_clock(as_of) - F.lit(timedelta(days=LOOKBACK_DAYS)))
     return filter_by_relative_time(log, days=LOOKBACK_DAYS, time_column=time_column, as_of=as_of)
 
 
@@ -81,9 +89,11 @@ def _replaced(df: DataFrame, changed: Sequence[str], *expressions: str) -> DataF
 
 # --- who and where -------------------------------------------------------------------------
 
-def entity_footprint(logins: DataFrame, flagged: DataFrame, as_of: AsOf = None) -> DataFrame:
+def entity_footprint(
+    logins: DataFrame, flagged: DataFrame, as_of: AsOf = None, day_column: str | None = None
+) -> DataFrame:
     """Distinct (user, dest_hostname, src_ip) of the flagged users' recent logins."""
-    seen = _recent(logins, "date", as_of).selectExpr(
+    seen = _recent(logins, "date", as_of, day_column).selectExpr(
         f"CAST(user_id AS STRING) AS `{USER}`", "dest_hostname", "src_ip"
     )
     return seen.distinct().join(flagged.select(USER), USER, "left_semi")
@@ -112,11 +122,13 @@ def entity_profile(flagged: DataFrame, workday: DataFrame) -> DataFrame:
 AV_COUNTS = ("av_events", "av_detected", "av_cleaned", "av_failed")
 
 
-def antivirus_counts(footprint: DataFrame, antivirus: DataFrame, as_of: AsOf = None) -> DataFrame:
+def antivirus_counts(
+    footprint: DataFrame, antivirus: DataFrame, as_of: AsOf = None, day_column: str | None = None
+) -> DataFrame:
     """Antivirus events on each user's hosts, by outcome.  Users without hosts have no row."""
     hosts = _pairs(footprint, "dest_hostname", "hostname")
     per_host = (
-        _recent(antivirus, "time", as_of)
+        _recent(antivirus, "time", as_of, day_column)
         .groupBy("hostname")
         .agg(
             F.expr("count(1) AS av_events"),
@@ -160,10 +172,12 @@ def antivirus_risk(
 DLP_COUNTS = ("dlp_high", "dlp_medium", "dlp_low")
 
 
-def dlp_counts(flagged: DataFrame, dlp: DataFrame, as_of: AsOf = None) -> DataFrame:
+def dlp_counts(
+    flagged: DataFrame, dlp: DataFrame, as_of: AsOf = None, day_column: str | None = None
+) -> DataFrame:
     """Data-loss events that were let through, per user and severity."""
     return (
-        _recent(dlp, "timestamp", as_of)
+        _recent(dlp, "timestamp", as_of, day_column)
         .where(F.col("action") == schemas.DLP_ALLOWED)
         .groupBy(F.col(USER).cast("string").alias(USER))
         .agg(
@@ -198,7 +212,9 @@ def dlp_risk(
 URL_COUNTS = ("url_hits", "url_domains")
 
 
-def url_counts(footprint: DataFrame, url_filtering: DataFrame, as_of: AsOf = None) -> DataFrame:
+def url_counts(
+    footprint: DataFrame, url_filtering: DataFrame, as_of: AsOf = None, day_column: str | None = None
+) -> DataFrame:
     """Malware requests from each user's addresses, and their distinct domains.
 
     The domains behind a user's addresses are a union of sets.  Addresses that several users
@@ -208,7 +224,7 @@ def url_counts(footprint: DataFrame, url_filtering: DataFrame, as_of: AsOf = Non
     """
     addresses = _pairs(footprint, "src_ip", "ip_address").where("ip_address IS NOT NULL")
     per_domain = (
-        _recent(url_filtering, "date", as_of)
+        _recent(url_filtering, "date", as_of, day_column)
         .where(F.col("url_category") == schemas.URL_MALWARE)
         .groupBy("ip_address", "domain")
         .agg(F.expr("count(1) AS hits"))

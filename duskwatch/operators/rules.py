@@ -7,11 +7,21 @@ key that owns a third of the log costs one partial row per task, not one huge gr
 from __future__ import annotations
 
 from collections.abc import Sequence
+from datetime import timedelta
 from typing import Any
 
 from pyspark.sql import Column, DataFrame, functions as F
-
-from duskwatch.functions.clock import AsOf, checked_unit, epoch_seconds, wall_clock
+from pyspark.sql import types as T
+
+from duskwatch.functions.clock import (
+    AsOf,
+    checked_unit,
+    epoch_seconds,
+    in_days_since,
+    in_type_of,
+    wall_clock,
+    window_start,
+)
 from duskwatch.functions.literals import column_type, quoted
 from duskwatch.functions.predicates import equals
 from duskwatch.functions.trailing import with_trailing_sums
@@ -187,6 +197,8 @@ def statistically_significant_window_by_std(
     no_minimum_window_events: int = 0,
     current_window_is_multiple_of_mean: float = 2.0,
     as_of: AsOf = None,
+    lookback: timedelta | None = None,
+    day_column: str | None = None,
 ) -> DataFrame:
     """Entities whose volume in the window of ``as_of`` stands out from their own past windows.
 
@@ -195,14 +207,27 @@ def statistically_significant_window_by_std(
     enters it as a zero.  An entity is kept when its z-score, its number of windows and the
     current volume relative to the mean are all strictly above the limits.  A history without
     spread has no z-score, so it never fires.
+
+    ``lookback`` bounds the history: only windows that start no earlier than the window of
+    ``as_of - lookback`` are read, and rows without a time are not.  ``day_column`` then names
+    the column that divides the log's folders by day, so that older ones are not opened.
     """
     unit = checked_unit(window)
-    now = F.date_trunc(unit, wall_clock(as_of))
+    dtype = column_type(df, timestamp_column)
+    if lookback is not None:
+        zone_less = T.TimestampNTZType()
+        oldest = window_start(wall_clock(as_of) - F.lit(lookback), zone_less, unit)
+        if day_column is not None:
+            df = in_days_since(df, day_column, oldest)
+        df = df.where(F.col(timestamp_column) >= in_type_of(oldest, dtype))
+    # a day column is compared with the full moment, as every other type is
+    own = T.TimestampNTZType() if isinstance(dtype, T.DateType) else dtype
+    now = window_start(wall_clock(as_of), own, unit)
     current, before = f"events_in_last_{window}", f"events_before_last_{window}"
     mean, deviation, windows = f"{before}_mean", f"{before}_std", f"no_{window}_with_events"
 
     per_window = df.groupBy(
-        comparative_column, F.date_trunc(unit, F.col(timestamp_column)).alias("__bucket")
+        comparative_column, window_start(F.col(timestamp_column), dtype, unit).alias("__bucket")
     ).agg(_volume(count_column).alias("__volume"))
 
     volume = F.col("__volume")

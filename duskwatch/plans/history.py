@@ -12,7 +12,8 @@ from typing import Any
 
 from pyspark.sql import DataFrame, functions as F
 
-from duskwatch.functions.clock import checked_unit
+from duskwatch.functions.clock import checked_unit, window_start
+from duskwatch.functions.literals import column_type
 from duskwatch.operators.rules import statistically_significant_window_by_std
 
 VOLUME = "volume"
@@ -26,7 +27,8 @@ def window_totals(
     count_column: str | None = None,
 ) -> DataFrame:
     """Volume per entity and window; the window's start keeps the name of the time column."""
-    start = F.date_trunc(checked_unit(window), F.col(timestamp_column)).alias(timestamp_column)
+    dtype = column_type(new_rows, timestamp_column)
+    start = window_start(F.col(timestamp_column), dtype, checked_unit(window)).alias(timestamp_column)
     volume = F.count(F.lit(1)) if count_column is None else F.sum(count_column)
     return new_rows.groupBy(comparative_column, start).agg(volume.alias(VOLUME))
 

@@ -7,14 +7,17 @@ written their true size lets later joins decide for themselves whether to broadc
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable
+from collections.abc import Callable, Iterable, Mapping
 from dataclasses import dataclass
+from datetime import timedelta
+from typing import Any
 
 from pyspark.sql import DataFrame
 
 from duskwatch.functions.clock import AsOf
 from duskwatch.operators import evidence, handoff
 from duskwatch.operators.verdict import findings_table
+from duskwatch.plans.history import VOLUME
 from duskwatch.plans.use_cases import unusual_document_access, unusual_mail_volume
 from duskwatch.sources.staging import stage
 
@@ -28,6 +31,9 @@ class SecurityTables:
     """The logs and dimensions the chain reads.
 
     ``identity(user, email)`` is optional; without it e-mail entities stay unresolved.
+    ``document_totals`` and ``mail_totals`` are daily totals kept by ``plans.history``; the
+    rules then read them instead of the whole sharepoint and e-mail logs.  ``day_column`` names
+    the column by which logs are divided into folders; a log without it is read as it is.
     """
 
     sharepoint: DataFrame
@@ -39,6 +45,12 @@ class SecurityTables:
     url_filtering: DataFrame
     users: DataFrame
     identity: DataFrame | None = None
+    document_totals: DataFrame | None = None
+    mail_totals: DataFrame | None = None
+    day_column: str | None = None
+
+    def day_of(self, log: DataFrame) -> str | None:
+        return self.day_column if self.day_column in log.columns else None
 
 
 @dataclass(frozen=True)
@@ -57,16 +69,34 @@ class ChainResult:
 
 
 def detect(
-    tables: SecurityTables, as_of: AsOf = None, manual_users: Iterable[str] = ()
+    tables: SecurityTables,
+    as_of: AsOf = None,
+    manual_users: Iterable[str] = (),
+    limits: Mapping[str, Any] | None = None,
+    lookback: timedelta | None = None,
 ) -> DataFrame:
-    """Detections of both rules and of analysts, with their users resolved."""
+    """Detections of both rules and of analysts, with their users resolved.
+
+    ``limits`` are options of the own-history rule in place of the shipped ones; ``lookback``
+    bounds the history that is read.
+    """
+
+    def surges(rule: Callable[..., DataFrame], log: DataFrame, totals: DataFrame | None) -> DataFrame:
+        source, options = log, dict(limits or {})
+        if totals is not None:
+            source, options["count_column"] = totals, VOLUME
+        if lookback is not None:
+            options |= {"lookback": lookback, "day_column": tables.day_of(source)}
+        return rule(source, as_of, **options)
+
     found = [
         handoff.as_detections(
-            unusual_document_access(tables.sharepoint, as_of), DOCUMENT_RULE, "user_id",
-            score_column="z_score",
+            surges(unusual_document_access, tables.sharepoint, tables.document_totals),
+            DOCUMENT_RULE, "user_id", score_column="z_score",
         ),
         handoff.as_detections(
-            unusual_mail_volume(tables.email, as_of), MAIL_RULE, "sender", "email", "z_score"
+            surges(unusual_mail_volume, tables.email, tables.mail_totals),
+            MAIL_RULE, "sender", "email", "z_score",
         ),
     ]
     named = list(manual_users)
@@ -88,9 +118,9 @@ def investigate(
     return findings_table(
         flagged,
         evidence.staff_profiles(tables.workday),
-        evidence.antivirus_counts(footprint, tables.antivirus, as_of),
-        evidence.dlp_counts(flagged, tables.dlp, as_of),
-        evidence.url_counts(footprint, tables.url_filtering, as_of),
+        evidence.antivirus_counts(footprint, tables.antivirus, as_of, tables.day_of(tables.antivirus)),
+        evidence.dlp_counts(flagged, tables.dlp, as_of, tables.day_of(tables.dlp)),
+        evidence.url_counts(footprint, tables.url_filtering, as_of, tables.day_of(tables.url_filtering)),
         av_tiers=av_tiers,
         dlp_tiers=dlp_tiers,
         url_tiers=url_tiers,
@@ -102,12 +132,22 @@ def run(
     as_of: AsOf = None,
     manual_users: Iterable[str] = (),
     keep: Callable[[DataFrame, str], DataFrame] = stage,
+    limits: Mapping[str, Any] | None = None,
+    lookback: timedelta | None = None,
+    **tiers: evidence.Tiers,
 ) -> ChainResult:
-    """The whole chain.  ``keep`` cuts the plan between stages; identity keeps it one plan."""
-    detections = keep(detect(tables, as_of, manual_users), "detections")
+    """The whole chain.  ``keep`` cuts the plan between stages; identity keeps it one plan.
+
+    ``limits`` and ``lookback`` go to ``detect``; ``av_tiers``, ``dlp_tiers`` and ``url_tiers``
+    to ``investigate``.
+    """
+    detections = keep(detect(tables, as_of, manual_users, limits, lookback), "detections")
     flagged = keep(handoff.flagged_users(detections), "flagged")
-    footprint = keep(evidence.entity_footprint(tables.user_logins, flagged, as_of), "footprint")
-    findings = keep(investigate(flagged, footprint, tables, as_of), "findings")
+    logins = tables.user_logins
+    footprint = keep(
+        evidence.entity_footprint(logins, flagged, as_of, tables.day_of(logins)), "footprint"
+    )
+    findings = keep(investigate(flagged, footprint, tables, as_of, **tiers), "findings")
     actions = handoff.response_actions(findings, tables.users)
     return ChainResult(
         detections=detections,

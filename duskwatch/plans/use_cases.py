@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from typing import Any
+
 from pyspark.sql import DataFrame
 
 from duskwatch.functions.clock import AsOf
@@ -40,15 +42,20 @@ def anomalous_failed_logins(ciam: DataFrame, as_of: AsOf = None) -> DataFrame:
     return statistical_anomaly_detection_group_by(refused, "login_id")
 
 
-def unusual_document_access(sharepoint: DataFrame, as_of: AsOf = None) -> DataFrame:
-    """Users opening far more documents today than on their own earlier days."""
+def unusual_document_access(
+    sharepoint: DataFrame, as_of: AsOf = None, **options: Any
+) -> DataFrame:
+    """Users opening far more documents today than on their own earlier days.
+
+    ``options`` of the own-history rule replace the shipped limits or add to them.
+    """
     return statistically_significant_window_by_std(
-        sharepoint, "user_id", timestamp_column="date", as_of=as_of, **HISTORY
+        sharepoint, "user_id", timestamp_column="date", as_of=as_of, **(HISTORY | options)
     )
 
 
-def unusual_mail_volume(email: DataFrame, as_of: AsOf = None) -> DataFrame:
-    """Senders with far more mail today than on their own earlier days."""
+def unusual_mail_volume(email: DataFrame, as_of: AsOf = None, **options: Any) -> DataFrame:
+    """Senders with far more mail today than on their own earlier days; options as above."""
     return statistically_significant_window_by_std(
-        email, "sender", timestamp_column="date", as_of=as_of, **HISTORY
+        email, "sender", timestamp_column="date", as_of=as_of, **(HISTORY | options)
     )

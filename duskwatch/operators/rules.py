@@ -162,13 +162,11 @@ def trending_based_rule(
         F.count("__volume").alias("__n"),
     )
 
-    keys = [partition_column]
-    short = with_trailing_sums(
-        per_second, keys, "__second", -int(hour_range), {"__short_sum": "__sum", "__short_n": "__n"}
-    )
-    both = with_trailing_sums(
-        short, keys, "__second", -int(day_range), {"__long_sum": "__sum", "__long_n": "__n"}
-    )
+    short = {"__short_sum": "__sum", "__short_n": "__n"}
+    long = {"__long_sum": "__sum", "__long_n": "__n"}
+    hour, day = -int(hour_range), -int(day_range)
+    reaches = {hour: short, day: long} if hour != day else {hour: short | long}
+    both = with_trailing_sums(per_second, [partition_column], "__second", reaches)
     rising = both.selectExpr(
         entity,
         f"coalesce(__second, {-(2**63)}) AS __second",

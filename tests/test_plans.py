@@ -103,6 +103,10 @@ def test_trend_windows_are_cut_by_time(events):
     assert "SinglePartition" not in plan  # no window over the whole frame
     assert plan.count("unboundedpreceding") >= len(windows)  # running sums, not sliding frames
     assert "-86400" not in plan and "-3600" not in plan
+    # by (entity, time), by (entity, second), once for both averages, by entity
+    assert plan.count("Exchange hashpartitioning") == 4
+    assert plan.count("Generate inline") == 1
+    assert plan.count("Sort [") == 2  # one up, one down
 
 
 def test_semi_join_moves_below_the_aggregation(spark, events):

@@ -285,7 +285,7 @@ event = st.tuples(
 @given(
     events=st.lists(event, max_size=40),
     ratio=st.sampled_from([0.5, 1.0, 1.25, 3.0]),
-    reaches=st.sampled_from([(5, 60), (7, 50), (0, 30), (60, 5), (3, 1000), (30, 30)]),
+    reaches=st.sampled_from([(5, 60), (7, 50), (0, 30), (60, 5), (3, 1000), (30, 30), (0, 0)]),
 )
 def test_trend_equals_its_definition(spark, events, ratio, reaches):
     df = spark.createDataFrame(events, "who string, t timestamp, v int")
@@ -322,7 +322,7 @@ def test_trailing_sums_equal_range_frames(spark, reach):
         "IF(id % 3 = 0, 'hot', CONCAT('k', id % 40)) AS k", "id * 37 - 20000 AS s",
         "CAST(id % 11 AS DOUBLE) + 1e9 * IF(id = 5, 1, 0) AS v",
     )
-    ours = with_trailing_sums(points, ["k"], "s", reach, {"ours": "v"})
+    ours = with_trailing_sums(points, ["k"], "s", {reach: {"ours": "v"}})
     frame = Window.partitionBy("k").orderBy("s").rangeBetween(-reach, 0)
     both = ours.withColumn("spark", F.sum("v").over(frame))
     assert both.count() == 3000
@@ -330,6 +330,21 @@ def test_trailing_sums_equal_range_frames(spark, reach):
     assert both.where("ours <> spark").count() == 0
 
 
+@pytest.mark.parametrize("reaches", [(60, 600, 86_400), (37, 50), (0, 600), (74, 37)])
+def test_several_trailing_sums_equal_range_frames(spark, reaches):
+    points = spark.range(3000).selectExpr(
+        "IF(id % 3 = 0, 'hot', CONCAT('k', id % 40)) AS k", "id * 37 - 20000 AS s",
+        "CAST(id % 11 AS DOUBLE) AS v",
+    )
+    wanted = {reach: {f"ours_{reach}": "v"} for reach in reaches}
+    both = with_trailing_sums(points, ["k"], "s", wanted)
+    for reach in reaches:
+        frame = Window.partitionBy("k").orderBy("s").rangeBetween(-reach, 0)
+        both = both.withColumn(f"spark_{reach}", F.sum("v").over(frame))
+    assert both.count() == 3000
+    assert both.where(" OR ".join(f"ours_{r} <> spark_{r}" for r in reaches)).count() == 0
+
+
 def test_trend_with_unknown_times_and_dates(spark):
     df = spark.createDataFrame(
         [("u", None, 4), ("u", datetime(2024, 1, 1), 1), ("u", datetime(2024, 1, 9), 1), (None, None, 3)],

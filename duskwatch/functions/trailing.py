@@ -11,7 +11,8 @@ chunk before.  So every point is emitted twice, once at its own time and once R
 * a descending running sum over echoes gives the part of the previous chunk still in reach.
 
 Both only ever add, so there is no cancellation error, and no window partition is larger
-than two chunks of one key: at most 2 * R rows, since points are unique per second.
+than two chunks of one key: at most 2 * R rows, since points are unique per second (with several
+ranges, one chunk more for each).
 
 Several ranges, each a multiple of the next, share one emission and one shuffle: chunks of the
 shorter range lie within those of the longer, so rows brought together by the longer chunk are

@@ -6,9 +6,11 @@ Hamming distance of each pair that meets is verified.  Linked texts form compone
 
 * ``EXACT`` (64 bits, distance 2): of four 16-bit blocks two bits can touch only two, so close
   pairs agree on some two blocks: six keys of 32 bits.  No link is lost.
-* ``SIMILAR`` (2048 bits, five-word shingles, Jaccard 0.8): 85 blocks of 24 bits; a pair at
-  similarity 0.8 shares a block with probability 0.8, at 0.85 with 0.96, at 0.9 with 0.998.
-  The distance limit is the one expected at 0.8.
+* ``SIMILAR`` (2048 bits, five-word shingles, Jaccard 0.8): the bits are cut into 85 blocks of
+  24 bits twice, in two orders; a pair at similarity 0.8 shares a block with probability 0.96,
+  at 0.85 with 0.998.  A distance tells a similarity only within an error, so pairs within three
+  standard deviations of the distance expected at 0.8 have their shingles compared, exactly;
+  closer pairs are linked and farther ones are not.
 
 Equal fingerprints are one node, so copies cost one row before anything is joined.  Buckets of
 at most ``bucket`` nodes are paired within; larger ones never are.  For ``EXACT`` their nodes
@@ -51,6 +53,9 @@ class Scheme:
     distance: int  # at most so many bits differ
     repeats: bool  # whether a repeated shingle counts again
     bucket: int  # nodes of which all pairs are compared
+    orders: int = 1  # of the bits, each cut into blocks of its own
+    similarity: float | None = None  # decided exactly between the two distances
+    sure: int = -1  # at most so many differing bits need no such decision
 
 
 def _distance_at(similarity: float, bits: int) -> int:
@@ -59,13 +64,21 @@ def _distance_at(similarity: float, bits: int) -> int:
     return round(bits * np.arccos(cosine) / np.pi)
 
 
+def _error_at(similarity: float, bits: int) -> int:
+    """Three standard deviations of that number."""
+    share = _distance_at(similarity, bits) / bits
+    return round(3 * np.sqrt(bits * share * (1 - share)))
+
+
 EXACT = Scheme(
     words=3, bits=64, block_bits=16, together=2, distance=2, repeats=True, bucket=64
 )
 SIMILAR = Scheme(
-    words=5, bits=2048, block_bits=24, together=1, distance=_distance_at(0.8, 2048), repeats=False,
-    bucket=12,
+    words=5, bits=2048, block_bits=24, together=1, repeats=False, bucket=12, orders=2, similarity=0.8,
+    distance=_distance_at(0.8, 2048) + _error_at(0.8, 2048),
+    sure=_distance_at(0.8, 2048) - _error_at(0.8, 2048),
 )
+STEP = 1009  # odd, so that steps of it visit all bits once; the next order of the bits
 
 
 def shingle_hashes(text: str | None, words: int) -> np.ndarray:
@@ -131,14 +144,16 @@ def _keys(prints: Column, scheme: Scheme) -> Column:
                 continue
             words = np.array(column.tolist(), dtype=np.int64)
             bits = np.unpackbits(words.view(np.uint8), axis=1, bitorder="little")
-            parts = bits[:, : blocks * per].reshape(len(words), blocks, per)
-            packed = np.packbits(parts, axis=2, bitorder="little").astype(np.int64)
-            values = sum(packed[:, :, i] << (8 * i) for i in range(packed.shape[2]))
-            keys = np.empty((len(words), len(chosen)), dtype=np.int64)
-            for i, combination in enumerate(chosen):
-                keys[:, i] = i
-                for block in combination:
-                    keys[:, i] = (keys[:, i] << per) | values[:, block]
+            keys = np.empty((len(words), scheme.orders * len(chosen)), dtype=np.int64)
+            for order in range(scheme.orders):
+                at = np.arange(blocks * per) * pow(STEP, order) % scheme.bits
+                parts = bits[:, at].reshape(len(words), blocks, per)
+                packed = np.packbits(parts, axis=2, bitorder="little").astype(np.int64)
+                values = sum(packed[:, :, i] << (8 * i) for i in range(packed.shape[2]))
+                for i, combination in enumerate(chosen, order * len(chosen)):
+                    keys[:, i] = i
+                    for block in combination:
+                        keys[:, i] = (keys[:, i] << per) | values[:, block]
             yield pd.Series(list(keys), dtype=object)
 
     run.__annotations__ = {"batches": Iterator[pd.Series], "return": Iterator[pd.Series]}
@@ -175,7 +190,7 @@ def _through_centres(nodes: DataFrame, large: DataFrame) -> DataFrame:
 
 
 def _verified(pairs: DataFrame, nodes: DataFrame, distance: int) -> DataFrame:
-    """Those distinct pairs whose fingerprints differ in at most ``distance`` bits."""
+    """Those distinct pairs whose fingerprints differ in at most ``distance`` bits, and how many."""
     one = nodes.select(F.col("node").alias("a"), F.col("print").alias("print_a"))
     two = nodes.select(F.col("node").alias("b"), F.col("print").alias("print_b"))
     differing = F.aggregate(
@@ -184,11 +199,42 @@ def _verified(pairs: DataFrame, nodes: DataFrame, distance: int) -> DataFrame:
         lambda total, x: total + x,
     )
     met = pairs.distinct().join(one, "a").join(two, "b")
-    return met.where(differing <= distance).select("a", "b")
+    return met.select("a", "b", differing.alias("differing")).where(F.col("differing") <= distance)
+
+
+def _shingle_sets(text: Column, words: int) -> Column:
+    def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        for texts in batches:
+            sets = [np.unique(shingle_hashes(t, words)).view(np.int64) for t in texts.tolist()]
+            yield pd.Series(sets, dtype=object)
 
+    run.__annotations__ = {"batches": Iterator[pd.Series], "return": Iterator[pd.Series]}
+    return F.pandas_udf(run, "array<long>").asNondeterministic()(text)
 
-def links(nodes: DataFrame, scheme: Scheme, largest: int | None = None) -> DataFrame:
-    """Links (a, b) between ``nodes`` (node, print) that connect all that are close."""
+
+def _decided(close: DataFrame, nodes: DataFrame, texts: DataFrame, scheme: Scheme) -> DataFrame:
+    """Links (a, b) of ``close``: the sure ones, and others if their shingles are alike enough.
+
+    ``texts`` (tag, text) has a text of every node; only those of undecided pairs are compared.
+    """
+    close = stage(close, "close")
+    open_ = close.where(F.col("differing") > scheme.sure).select("a", "b")
+    asked = open_.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+    tags = nodes.join(asked, "node", "left_semi").select("node", "tag")
+    found = texts.join(tags, "tag").dropDuplicates(["node"])
+    sets = stage(
+        found.select("node", _shingle_sets(F.col("text"), scheme.words).alias("items")), "sets"
+    )
+    x = sets.select(F.col("node").alias("a"), F.col("items").alias("x"))
+    y = sets.select(F.col("node").alias("b"), F.col("items").alias("y"))
+    shared = F.size(F.array_intersect("x", "y"))
+    value = shared / (F.size("x") + F.size("y") - shared)
+    alike = open_.join(x, "a").join(y, "b").where(value >= scheme.similarity).select("a", "b")
+    return close.where(F.col("differing") <= scheme.sure).select("a", "b").union(alike)
+
+
+def candidates(nodes: DataFrame, scheme: Scheme, largest: int | None = None) -> DataFrame:
+    """Pairs (a, b, differing) of ``nodes`` (node, print) that connect all within the distance."""
     largest = largest or scheme.bucket
     keys = nodes.select("node", _keys(F.col("print"), scheme).alias("keys"))
     following = F.concat(F.slice("keys", 2, F.size("keys")), F.slice("keys", 1, 1))
@@ -197,7 +243,8 @@ def links(nodes: DataFrame, scheme: Scheme, largest: int | None = None) -> DataF
     pairs, large = _met(rows if scheme.bits > 64 else rows.drop("next"), largest)
     if scheme.bits == 64:
         large = stage(large.select("node").distinct(), "crowd")
-        return _verified(pairs, nodes, scheme.distance).union(_through_centres(nodes, large))
+        through = _through_centres(nodes, large).withColumn("differing", F.lit(scheme.distance))
+        return _verified(pairs, nodes, scheme.distance).union(through)
     cut = large.select("node", F.xxhash64("key", "next").alias("key"))
     finer, still = _met(cut, largest)
     stars = large.union(still.select("key", "node", F.lit(None).cast("long"), "n", "least"))
@@ -217,13 +264,16 @@ def near_duplicates(
 
     print is the fingerprint as an array of longs, component_id the least key reachable.
     """
-    prints = stage(
-        docs.select(F.col(key).alias("key"), fingerprinted(F.col(text), scheme).alias("print")),
-        "prints",
-    )
-    nodes = prints.groupBy("print").agg(F.min("key").alias("first"))
+    rows = docs.select(F.col(key).alias("key"), F.col(text).alias("text"))
+    rows = rows.withColumn("tag", F.xxhash64("key", "text"))
+    prints = rows.select("key", "tag", fingerprinted(F.col("text"), scheme).alias("print"))
+    prints = stage(prints, "prints")
+    nodes = prints.groupBy("print").agg(F.min("key").alias("first"), F.min("tag").alias("tag"))
     nodes = stage(nodes.withColumn("node", F.monotonically_increasing_id()), "nodes")
-    roots = components(links(nodes.select("node", "print"), scheme, largest))
+    close = candidates(nodes.select("node", "print"), scheme, largest)
+    if scheme.similarity is not None:
+        close = _decided(close, nodes, rows.select("tag", "text"), scheme)
+    roots = components(close.select("a", "b"))
     named = nodes.join(roots, "node", "left").select(
         "print", "first", F.coalesce("root", "node").alias("root")
     )

@@ -74,7 +74,7 @@ EXACT = Scheme(
     words=3, bits=64, block_bits=16, together=2, distance=2, repeats=True, bucket=64
 )
 SIMILAR = Scheme(
-    words=5, bits=2048, block_bits=24, together=1, repeats=False, bucket=12, orders=2, similarity=0.8,
+    words=5, bits=2048, block_bits=24, together=1, repeats=False, bucket=8, orders=2, similarity=0.8,
     distance=_distance_at(0.8, 2048) + _error_at(0.8, 2048),
     sure=_distance_at(0.8, 2048) - _error_at(0.8, 2048),
 )

@@ -13,12 +13,14 @@ Hamming distance of each pair that meets is verified.  Linked texts form compone
   closer pairs are linked and farther ones are not.
 
 Equal fingerprints are one node, so copies cost one row before anything is joined.  Buckets of
-at most ``bucket`` nodes are paired within; larger ones never are.  For ``EXACT`` their nodes
-are linked through *centres*: two fingerprints differ in at most two bits just when some
-fingerprint is within one bit of both, so each sends itself to its 65 centres and is linked to
-the least node there - 65 rows a node, whatever the bucket's size, and nothing missed.  For
-``SIMILAR`` a large bucket is cut by its next block, and what is still large is compared with
-the bucket's least node.
+at most ``bucket`` nodes are paired within by a join.  Larger ones are not paired as rows.  For
+``EXACT`` their nodes are linked through *centres*: two fingerprints differ in at most two bits
+just when some fingerprint is within one bit of both, so each sends itself to its 65 centres and
+is linked to the least node there - 65 rows a node, whatever the bucket's size, and nothing
+missed.  For ``SIMILAR`` their nodes are first compared with the bucket's least node; a bucket
+that the links found so far leave in several components is then dealt to blocks, and every block
+is compared with every block, but for pairs that are in one component already.  Only components
+are asked for, so nothing is missed here either, and a crowd of near copies makes few rows.
 
 Defined results: a text that is null or has no word has an all-zero fingerprint, linked like
 any other; with fewer words than a shingle has, the whole sequence is the shingle.  Rows with a
@@ -42,6 +44,7 @@ from duskwatch.llm.components import components
 from duskwatch.sources.staging import stage
 
 SEED = 42
+SIDE = 256  # nodes of a block
 
 
 @dataclass(frozen=True)
@@ -52,7 +55,7 @@ class Scheme:
     together: int  # blocks that make a key
     distance: int  # at most so many bits differ
     repeats: bool  # whether a repeated shingle counts again
-    bucket: int  # nodes of which all pairs are compared
+    bucket: int  # nodes of which all pairs are joined as rows
     orders: int = 1  # of the bits, each cut into blocks of its own
     similarity: float | None = None  # decided exactly between the two distances
     sure: int = -1  # at most so many differing bits need no such decision
@@ -189,8 +192,14 @@ def _through_centres(nodes: DataFrame, large: DataFrame) -> DataFrame:
     )
 
 
-def _verified(pairs: DataFrame, nodes: DataFrame, distance: int) -> DataFrame:
-    """Those distinct pairs whose fingerprints differ in at most ``distance`` bits, and how many."""
+def _alike(x: str, y: str) -> Column:
+    shared = F.size(F.array_intersect(x, y))
+    return shared / (F.size(x) + F.size(y) - shared)
+
+
+def _verified(pairs: DataFrame, nodes: DataFrame, scheme: Scheme) -> DataFrame:
+    """Those distinct pairs whose fingerprints differ in at most ``distance`` bits, and how many.
+    """
     one = nodes.select(F.col("node").alias("a"), F.col("print").alias("print_a"))
     two = nodes.select(F.col("node").alias("b"), F.col("print").alias("print_b"))
     differing = F.aggregate(
@@ -199,7 +208,9 @@ def _verified(pairs: DataFrame, nodes: DataFrame, distance: int) -> DataFrame:
         lambda total, x: total + x,
     )
     met = pairs.distinct().join(one, "a").join(two, "b")
-    return met.select("a", "b", differing.alias("differing")).where(F.col("differing") <= distance)
+    return met.select("a", "b", differing.alias("differing")).where(
+        F.col("differing") <= scheme.distance
+    )
 
 
 def _shingle_sets(text: Column, words: int) -> Column:
@@ -227,29 +238,115 @@ def _decided(close: DataFrame, nodes: DataFrame, texts: DataFrame, scheme: Schem
     )
     x = sets.select(F.col("node").alias("a"), F.col("items").alias("x"))
     y = sets.select(F.col("node").alias("b"), F.col("items").alias("y"))
-    shared = F.size(F.array_intersect("x", "y"))
-    value = shared / (F.size("x") + F.size("y") - shared)
-    alike = open_.join(x, "a").join(y, "b").where(value >= scheme.similarity).select("a", "b")
+    alike = open_.join(x, "a").join(y, "b").where(_alike("x", "y") >= scheme.similarity)
+    alike = alike.select("a", "b")
     return close.where(F.col("differing") <= scheme.sure).select("a", "b").union(alike)
 
 
-def candidates(nodes: DataFrame, scheme: Scheme, largest: int | None = None) -> DataFrame:
-    """Pairs (a, b, differing) of ``nodes`` (node, print) that connect all within the distance."""
-    largest = largest or scheme.bucket
+def _block_pairs(cell: pd.DataFrame, scheme: Scheme) -> pd.DataFrame:
+    """Pairs (a, b, differing) of two blocks (or of one with itself) that can join components.
+
+    Of pairs that need no further decision those of a spanning forest are enough, and no other
+    pair is needed within what they join.
+    """
+    one = cell[cell["part"] == cell["i"]].reset_index(drop=True)
+    two = cell[cell["part"] == cell["j"]].reset_index(drop=True)
+    names, group = np.unique(np.concatenate((one["root"], two["root"])), return_inverse=True)
+    left, right = group[: len(one)], group[len(one) :]
+    apart = left[:, None] != right
+    if cell["i"].iat[0] == cell["j"].iat[0]:
+        apart &= np.tri(len(one), k=-1, dtype=bool)
+    a, b, differing = [], [], []
+    if apart.any():
+
+        def signs(rows: pd.DataFrame) -> np.ndarray:
+            words = np.array(rows["print"].tolist(), dtype=np.int64)
+            bits = np.unpackbits(words.view(np.uint8), axis=1)
+            return bits.astype(np.float32) * 2 - 1
+
+        distance = ((scheme.bits - signs(one) @ signs(two).T) / 2).astype(np.int32)
+        parent = list(range(len(names)))
+
+        def find(at: int) -> int:
+            while parent[at] != at:
+                parent[at] = at = parent[parent[at]]
+            return at
+
+        kept = []
+        for x, y in zip(*np.nonzero(apart & (distance <= scheme.sure))):
+            p, q = find(left[x]), find(right[y])
+            if p != q:
+                parent[p] = q
+                kept.append((x, y))
+        joined = np.array([find(at) for at in range(len(names))])
+        undecided = (distance > scheme.sure) & (distance <= scheme.distance)
+        kept += zip(*np.nonzero(apart & undecided & (joined[left][:, None] != joined[right])))
+        nodes = one["node"].to_numpy(), two["node"].to_numpy()
+        for x, y in kept:
+            first, second = nodes[0][x], nodes[1][y]
+            a.append(min(first, second))
+            b.append(max(first, second))
+            differing.append(distance[x, y])
+    return pd.DataFrame({"a": a, "b": b, "differing": differing}).astype(
+        {"a": "int64", "b": "int64", "differing": "int32"}
+    )
+
+
+def _crowded(large: DataFrame, nodes: DataFrame, roots: DataFrame, scheme: Scheme) -> DataFrame:
+    """Pairs (a, b, differing) of large buckets' nodes that ``roots`` (node, root) leaves apart."""
+    known = large.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    known = stage(known.select("key", "node", "n", "root"), "crowds")
+    hashed = F.xxhash64("node")
+    open_ = known.groupBy("key", "n").agg(
+        F.min("root").alias("low"),
+        F.max("root").alias("high"),
+        F.bit_xor(hashed).alias("mixed"),
+        F.sum(hashed.cast("decimal(20,0)")).alias("total"),
+    )
+    # buckets of the same nodes are one
+    once = open_.where("low < high").groupBy("n", "mixed", "total").agg(F.min("key").alias("key"))
+    parts = F.ceil(F.col("n") / SIDE).cast("int")
+    dealt = known.join(once.select("key"), "key", "left_semi").select(
+        "key",
+        "node",
+        "root",
+        F.pmod(hashed, parts).cast("int").alias("part"),
+        F.explode(F.sequence(F.lit(0), parts - 1)).alias("other"),
+    )
+    cells = dealt.withColumns({"i": F.least("part", "other"), "j": F.greatest("part", "other")})
+
+    def solve(cell: pd.DataFrame) -> pd.DataFrame:
+        return _block_pairs(cell, scheme)
+
+    return (
+        cells.drop("other")
+        .join(nodes.select("node", "print"), "node")
+        .groupBy("key", "i", "j")
+        .applyInPandas(solve, "a long, b long, differing int")
+        .distinct()
+    )
+
+
+def _exact_links(nodes: DataFrame, scheme: Scheme, largest: int) -> DataFrame:
+    """Links (a, b) of ``nodes`` (node, print) that connect all within the distance."""
     keys = nodes.select("node", _keys(F.col("print"), scheme).alias("keys"))
-    following = F.concat(F.slice("keys", 2, F.size("keys")), F.slice("keys", 1, 1))
-    rows = keys.select("node", F.explode(F.arrays_zip("keys", following.alias("next"))).alias("k"))
-    rows = rows.select("node", F.col("k.keys").alias("key"), F.col("k.next").alias("next"))
-    pairs, large = _met(rows if scheme.bits > 64 else rows.drop("next"), largest)
-    if scheme.bits == 64:
-        large = stage(large.select("node").distinct(), "crowd")
-        through = _through_centres(nodes, large).withColumn("differing", F.lit(scheme.distance))
-        return _verified(pairs, nodes, scheme.distance).union(through)
-    cut = large.select("node", F.xxhash64("key", "next").alias("key"))
-    finer, still = _met(cut, largest)
-    stars = large.union(still.select("key", "node", F.lit(None).cast("long"), "n", "least"))
-    met = stars.where("node > least").select(F.col("least").alias("a"), F.col("node").alias("b"))
-    return _verified(pairs.union(finer).union(met), nodes, scheme.distance)
+    pairs, large = _met(keys.select(F.explode("keys").alias("key"), "node"), largest)
+    large = stage(large.select("node").distinct(), "crowd")
+    near = _verified(pairs, nodes, scheme).select("a", "b")
+    return near.union(_through_centres(nodes, large))
+
+
+def _similar_links(nodes: DataFrame, texts: DataFrame, scheme: Scheme, largest: int) -> DataFrame:
+    """Links (a, b) that connect all ``nodes`` that meet and are alike."""
+    keys = nodes.select("node", _keys(F.col("print"), scheme).alias("keys"))
+    keys = keys.select(F.explode("keys").alias("key"), "node")
+    pairs, large = _met(keys, largest)
+    stars = large.where("node > least").select(F.col("least").alias("a"), F.col("node").alias("b"))
+    close = _verified(pairs.union(stars), nodes, scheme)
+    roots = components(_decided(close, nodes, texts, scheme))
+    more = _crowded(large, nodes, roots, scheme)
+    links = roots.select(F.col("root").alias("a"), F.col("node").alias("b"))
+    return links.union(_decided(more, nodes, texts, scheme))
 
 
 def near_duplicates(
@@ -270,10 +367,12 @@ def near_duplicates(
     prints = stage(prints, "prints")
     nodes = prints.groupBy("print").agg(F.min("key").alias("first"), F.min("tag").alias("tag"))
     nodes = stage(nodes.withColumn("node", F.monotonically_increasing_id()), "nodes")
-    close = candidates(nodes.select("node", "print"), scheme, largest)
-    if scheme.similarity is not None:
-        close = _decided(close, nodes, rows.select("tag", "text"), scheme)
-    roots = components(close.select("a", "b"))
+    largest = largest or scheme.bucket
+    if scheme.similarity is None:
+        links = _exact_links(nodes, scheme, largest)
+    else:
+        links = _similar_links(nodes, rows.select("tag", "text"), scheme, largest)
+    roots = components(links)
     named = nodes.join(roots, "node", "left").select(
         "print", "first", F.coalesce("root", "node").alias("root")
     )

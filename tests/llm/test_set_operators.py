@@ -78,6 +78,21 @@ def test_similar_scheme_finds_pairs_of_similarity_080(spark):
     assert close > 50 and found >= 0.95 * close and wrong == 0
 
 
+def test_similar_scheme_links_a_crowd_to_its_original(spark):
+    draw = random.Random(5)
+    base = [f"word{i}" for i in range(204)]
+    rows = [(draw.randrange(10**9), " ".join(base))]
+    for n in range(600):  # four words changed: 180 of 220 shingles are shared, 0.82
+        words = list(base)
+        for at in draw.sample(range(5, 199, 10), 4):
+            words[at] = f"new{n}x{at}"
+        rows.append((draw.randrange(10**9), " ".join(words)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(8)
+    group = {r["doc_id"]: r["component_id"] for r in simhash.near_duplicates(docs, simhash.SIMILAR).collect()}
+    original = group[rows[0][0]]
+    assert sum(g == original for g in group.values()) >= 0.95 * len(rows)
+
+
 def test_simhash_on_awkward_rows(awkward, nothing):
     got = simhash.near_duplicates(awkward, simhash.EXACT)
     assert got.count() == awkward.count()

@@ -12,6 +12,10 @@ Hamming distance of each pair that meets is verified.  Linked texts form compone
   standard deviations of the distance expected at 0.8 have their shingles compared, exactly;
   closer pairs are linked and farther ones are not.
 
+Sets of few shingles do not follow the angle law (ties of few hashes are frequent), so below
+``FEW`` shingles ``SIMILAR`` asks the shingles alone: texts meet that share one of the rarest
+shingles of both (a prefix as long as the similarity demands), and no distance is asked.
+
 Equal fingerprints are one node, so copies cost one row before anything is joined.  Buckets of
 at most ``bucket`` nodes are paired within by a join.  Larger ones are not paired as rows.  For
 ``EXACT`` their nodes are linked through *centres*: two fingerprints differ in at most two bits
@@ -44,6 +48,7 @@ from duskwatch.llm.components import components
 from duskwatch.sources.staging import stage
 
 SEED = 42
+FEW = 20  # shingles from which distances tell similarities
 SIDE = 256  # nodes of a block
 
 
@@ -119,20 +124,27 @@ def fingerprint(hashes: np.ndarray, bits: int) -> np.ndarray:
     return np.packbits(2 * sums > n, bitorder="little").view(np.uint64)
 
 
-def fingerprinted(text: Column, scheme: Scheme) -> Column:
-    """Fingerprint of a text column, an array of longs."""
+def described(text: Column, scheme: Scheme) -> Column:
+    """Fingerprint of a text column, an array of longs, and its shingles where they are few.
 
-    def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    Few are as many as a set of fewer than ``FEW`` can be similar to.
+    """
+    most = 0 if scheme.similarity is None else FEW / scheme.similarity
+
+    def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         for texts in batches:
-            out = []
+            prints, items = [], []
             for value in texts.tolist():
                 hashes = shingle_hashes(value, scheme.words)
                 hashes = hashes if scheme.repeats else np.unique(hashes)
-                out.append(fingerprint(hashes, scheme.bits).view(np.int64))
-            yield pd.Series(out, dtype=object)
+                prints.append(fingerprint(hashes, scheme.bits).view(np.int64))
+                items.append(hashes.view(np.int64) if len(hashes) < most else None)
+            yield pd.DataFrame(
+                {"print": pd.Series(prints, dtype=object), "items": pd.Series(items, dtype=object)}
+            )
 
-    run.__annotations__ = {"batches": Iterator[pd.Series], "return": Iterator[pd.Series]}
-    return F.pandas_udf(run, "array<long>").asNondeterministic()(text)
+    run.__annotations__ = {"batches": Iterator[pd.Series], "return": Iterator[pd.DataFrame]}
+    return F.pandas_udf(run, "print array<long>, items array<long>").asNondeterministic()(text)
 
 
 def _keys(prints: Column, scheme: Scheme) -> Column:
@@ -199,14 +211,20 @@ def _alike(x: str, y: str) -> Column:
 
 def _verified(pairs: DataFrame, nodes: DataFrame, scheme: Scheme) -> DataFrame:
     """Those distinct pairs whose fingerprints differ in at most ``distance`` bits, and how many.
+
+    Two sets of few shingles are decided by these: no differing bits if they are alike.
     """
-    one = nodes.select(F.col("node").alias("a"), F.col("print").alias("print_a"))
-    two = nodes.select(F.col("node").alias("b"), F.col("print").alias("print_b"))
+    one = nodes.select(F.col("node").alias("a"), F.col("print").alias("print_a"), F.col("items").alias("x"))
+    two = nodes.select(F.col("node").alias("b"), F.col("print").alias("print_b"), F.col("items").alias("y"))
     differing = F.aggregate(
         F.zip_with("print_a", "print_b", lambda x, y: F.bit_count(x.bitwiseXOR(y))),
         F.lit(0),
         lambda total, x: total + x,
     )
+    if scheme.similarity is not None:
+        few = F.col("x").isNotNull() & F.col("y").isNotNull()
+        alike = F.when(_alike("x", "y") >= scheme.similarity, F.lit(0))
+        differing = F.when(few, alike).otherwise(differing)
     met = pairs.distinct().join(one, "a").join(two, "b")
     return met.select("a", "b", differing.alias("differing")).where(
         F.col("differing") <= scheme.distance
@@ -243,6 +261,18 @@ def _decided(close: DataFrame, nodes: DataFrame, texts: DataFrame, scheme: Schem
     return close.where(F.col("differing") <= scheme.sure).select("a", "b").union(alike)
 
 
+def _rarest(nodes: DataFrame, similarity: float) -> DataFrame:
+    """(key, node): of each set of few shingles the rarest, one of which similar sets share."""
+    items = nodes.select("node", F.size("items").alias("n"), F.explode("items").alias("item"))
+    often = items.groupBy("item").agg(F.count("*").alias("often"))
+    ranked = items.join(often, "item").groupBy("node", "n").agg(
+        F.array_sort(F.collect_list(F.struct("often", "item"))).alias("items")
+    )
+    prefix = (F.col("n") - F.ceil(F.col("n") * similarity - 1e-9) + 1).cast("int")
+    rarest = ranked.select("node", F.explode(F.slice("items", 1, prefix)).alias("e"))
+    return rarest.select(F.col("e.item").alias("key"), "node")
+
+
 def _block_pairs(cell: pd.DataFrame, scheme: Scheme) -> pd.DataFrame:
     """Pairs (a, b, differing) of two blocks (or of one with itself) that can join components.
 
@@ -265,6 +295,12 @@ def _block_pairs(cell: pd.DataFrame, scheme: Scheme) -> pd.DataFrame:
             return bits.astype(np.float32) * 2 - 1
 
         distance = ((scheme.bits - signs(one) @ signs(two).T) / 2).astype(np.int32)
+        sets = [[None if v is None else set(v) for v in rows["items"]] for rows in (one, two)]
+        few = [np.array([v is not None for v in side], dtype=bool) for side in sets]
+        for x, y in zip(*np.nonzero(apart & few[0][:, None] & few[1])):
+            shared = len(sets[0][x] & sets[1][y])
+            union = len(sets[0][x]) + len(sets[1][y]) - shared
+            distance[x, y] = 0 if shared / union >= scheme.similarity else scheme.bits + 1
         parent = list(range(len(names)))
 
         def find(at: int) -> int:
@@ -320,7 +356,7 @@ def _crowded(large: DataFrame, nodes: DataFrame, roots: DataFrame, scheme: Schem
 
     return (
         cells.drop("other")
-        .join(nodes.select("node", "print"), "node")
+        .join(nodes.select("node", "print", "items"), "node")
         .groupBy("key", "i", "j")
         .applyInPandas(solve, "a long, b long, differing int")
         .distinct()
@@ -328,7 +364,7 @@ def _crowded(large: DataFrame, nodes: DataFrame, roots: DataFrame, scheme: Schem
 
 
 def _exact_links(nodes: DataFrame, scheme: Scheme, largest: int) -> DataFrame:
-    """Links (a, b) of ``nodes`` (node, print) that connect all within the distance."""
+    """Links (a, b) of ``nodes`` (node, print, items) that connect all within the distance."""
     keys = nodes.select("node", _keys(F.col("print"), scheme).alias("keys"))
     pairs, large = _met(keys.select(F.explode("keys").alias("key"), "node"), largest)
     large = stage(large.select("node").distinct(), "crowd")
@@ -338,9 +374,10 @@ def _exact_links(nodes: DataFrame, scheme: Scheme, largest: int) -> DataFrame:
 
 def _similar_links(nodes: DataFrame, texts: DataFrame, scheme: Scheme, largest: int) -> DataFrame:
     """Links (a, b) that connect all ``nodes`` that meet and are alike."""
-    keys = nodes.select("node", _keys(F.col("print"), scheme).alias("keys"))
+    enough = nodes.where(F.col("items").isNull() | (F.size("items") >= FEW))
+    keys = enough.select("node", _keys(F.col("print"), scheme).alias("keys"))
     keys = keys.select(F.explode("keys").alias("key"), "node")
-    pairs, large = _met(keys, largest)
+    pairs, large = _met(keys.union(_rarest(nodes, scheme.similarity)), largest)
     stars = large.where("node > least").select(F.col("least").alias("a"), F.col("node").alias("b"))
     close = _verified(pairs.union(stars), nodes, scheme)
     roots = components(_decided(close, nodes, texts, scheme))
@@ -363,9 +400,11 @@ def near_duplicates(
     """
     rows = docs.select(F.col(key).alias("key"), F.col(text).alias("text"))
     rows = rows.withColumn("tag", F.xxhash64("key", "text"))
-    prints = rows.select("key", "tag", fingerprinted(F.col("text"), scheme).alias("print"))
-    prints = stage(prints, "prints")
-    nodes = prints.groupBy("print").agg(F.min("key").alias("first"), F.min("tag").alias("tag"))
+    prints = rows.select("key", "tag", described(F.col("text"), scheme).alias("found"))
+    prints = stage(prints.select("key", "tag", "found.*"), "prints")
+    nodes = prints.groupBy("print").agg(
+        F.min("key").alias("first"), F.min("tag").alias("tag"), F.min("items").alias("items")
+    )
     nodes = stage(nodes.withColumn("node", F.monotonically_increasing_id()), "nodes")
     largest = largest or scheme.bucket
     if scheme.similarity is None:

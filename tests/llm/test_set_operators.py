@@ -93,6 +93,19 @@ def test_similar_scheme_links_a_crowd_to_its_original(spark):
     assert sum(g == original for g in group.values()) >= 0.95 * len(rows)
 
 
+def test_similar_scheme_decides_few_shingles_by_themselves(spark):
+    rows = []
+    for n in range(300):
+        words = [f"w{n}x{i}" for i in range(11)]
+        for i, ends in enumerate((8, 9, 11)):  # 4, 5 and 7 shingles: 0.8, then 0.71
+            rows.append((10 * n + i, " ".join(words[:ends])))
+    rows += [(10_000 + i, "the same words start every one of these " + f"end{i}") for i in range(40)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    group = {r["doc_id"]: r["component_id"] for r in simhash.near_duplicates(docs, simhash.SIMILAR).collect()}
+    assert all(group[10 * n + 1] == 10 * n and group[10 * n + 2] == 10 * n + 2 for n in range(300))
+    assert all(group[10_000 + i] == 10_000 + i for i in range(40))  # 3 of 5 shingles
+
+
 def test_simhash_on_awkward_rows(awkward, nothing):
     got = simhash.near_duplicates(awkward, simhash.EXACT)
     assert got.count() == awkward.count()

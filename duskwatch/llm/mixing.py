@@ -34,6 +34,7 @@ from duskwatch.llm.language_id import softmax, train_ftrl
 from duskwatch.sources.staging import stage
 
 PER_DOMAIN = 1200
+RARE = 10  # times that a domain's mass is under the largest one's for it to be weighed up
 MARKS = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
 
 
@@ -145,6 +146,7 @@ class Rates:
     residuals: tuple[tuple[float, ...], ...]
     scale: float
     error: float  # largest difference from a target at the end, as a share of all tokens
+    errors: tuple[float, ...] = ()  # of each domain, as a share of its target or first total
 
     def column(self, names: list[str]) -> Column:
         """Rate of a row from its posterior columns."""
@@ -169,12 +171,18 @@ def fit_rates(
     keep_all: bool = False,
     steps: int = 40,
     tolerance: float = 0.005,
+    relative: float = 0.05,
 ) -> Rates:
     """Rates for ``rows`` with posterior columns ``names`` and target ``weights``.
 
     The targets are ``weights`` (made to add to one) times the number of tokens of all rows.
     With ``keep_all`` they are times the least number at which no domain with a positive weight
     has to give up tokens, so that documents are repeated and not thinned out.
+
+    Steps end once every domain is within ``tolerance`` of all tokens and within ``relative`` of
+    its own (target or first total, whichever is more), or when no domain that is not gets 2%
+    nearer in a step.  Where a domain is rare, differences are weighed by the domains' masses,
+    so that a rare one moves as fast as others.
     """
     groups = stage(
         rows.groupBy(*names).agg(F.sum(F.col(tokens).cast("double")).alias("mass")), "posteriors"
@@ -194,19 +202,30 @@ def fit_rates(
     found = np.array([first[f"s{i}"] for i in k]) / total
     budget = max([f / w for f, w in zip(found, share) if w > 0]) if keep_all else 1.0
     gram = np.array([[first[f"m{i}_{j}"] for j in k] for i in k]) / total
-    eta = float(1 / max(np.linalg.eigvalsh(gram).max(), 1e-9))
+    own = np.maximum(gram.diagonal(), 1e-12)
+    rare = own.max() > RARE * own.min()
+    scales = np.where(gram.diagonal() > 0, own.max() / own, 1.0) if rare else np.ones(len(names))
+    root = np.sqrt(scales)
+    eta = float(1 / max(np.linalg.eigvalsh(root[:, None] * gram * root).max(), 1e-9))
+    target = share * budget
+    most = np.maximum(np.maximum(found, target), 1e-12)
     residuals: list[tuple[float, ...]] = []
-    gap, before = found - share * budget, np.inf
-    # until the targets are met, or what is left hardly moves (posteriors of mixed documents)
-    while np.abs(gap).max() > tolerance and len(residuals) < steps and gap @ gap < 0.98 * before:
-        before = float(gap @ gap)
-        residuals.append(tuple(float(g) for g in gap))
+    gap, before = found - target, np.full(len(names), np.inf)
+    while len(residuals) < steps:
+        far = np.abs(gap)
+        unmet = (far > tolerance) | (far > relative * most)
+        # until the targets are met, or what is left hardly moves (posteriors of mixed documents)
+        if not (unmet & (far < 0.98 * before)).any():
+            break
+        before = far
+        residuals.append(tuple(float(g) for g in gap * scales))
         rate = Rates(eta, tuple(residuals), 1.0, 0.0).column(names)
         now = groups.withColumn("rate", rate).agg(
             *[F.sum(F.col("mass") * F.col("rate") * F.col(n)).alias(f"s{i}") for i, n in enumerate(names)]
         )
-        gap = np.array(now.first()) / total - share * budget
-    return Rates(eta, tuple(residuals), 1.0, float(np.abs(gap).max()))
+        gap = np.array(now.first()) / total - target
+    errors = tuple(float(e) for e in np.abs(gap) / most)
+    return Rates(eta, tuple(residuals), 1.0, float(np.abs(gap).max()), errors)
 
 
 def mix(

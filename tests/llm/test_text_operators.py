@@ -222,6 +222,17 @@ def test_rates_are_those_of_least_squares(spark):
     assert np.allclose(by_hand, rate, atol=1e-6)
 
 
+@pytest.mark.parametrize("keep_all", [False, True])
+@pytest.mark.parametrize("toxic", [3, 10])
+def test_rare_domain_meets_its_target_by_default(spark, toxic, keep_all):
+    kinds = [(0.98, 0.02, 0.0)] * 850 + [(0.03, 0.96, 0.01)] * (150 - toxic) + [(0.02, 0.03, 0.95)] * toxic
+    rows = spark.createDataFrame([(*k, 100) for k in kinds], "p0 double, p1 double, p2 double, n_words long")
+    rates = mixing.fit_rates(rows, ["p0", "p1", "p2"], [0.88, 0.12, 0.0], keep_all=keep_all)
+    rate = np.array([r[0] for r in rows.select(rates.column(["p0", "p1", "p2"])).collect()])
+    assert (rate[-toxic:] < 0.5).all() and (rate[:-toxic] >= 0.5).all()
+    assert len(rates.errors) == 3 and max(rates.errors[:2]) <= 0.05
+
+
 def test_mixing_drops_toxic_and_keeps_the_rest(spark, awkward, nothing):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     labels = spark.read.parquet("/root/testdata/sf0.01/labels.parquet")

@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 from duskwatch.llm import (
     bpe,
     chat,
+    extraction,
+    hard_negatives,
     knn,
     language_id,
     mixing,
@@ -17,6 +19,7 @@ from duskwatch.llm import (
     simhash,
     spotsigs,
     url_rules,
+    variants,
 )
 from duskwatch.llm.common import table, with_results
 
@@ -135,6 +138,24 @@ def op10_chat(spark: SparkSession, directory: str) -> DataFrame:
     )
 
 
+def op11_variants(spark: SparkSession, directory: str) -> DataFrame:
+    docs = table(spark, directory, "documents").select("doc_id", "text")
+    return variants.forms(variants.word_counts(docs, damage=199))
+
+
+def op12_hard_negatives(spark: SparkSession, directory: str) -> DataFrame:
+    vectors = table(spark, directory, "embeddings").select("vec_id", "embedding", "label")
+    wrong = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.mine(vectors, F.col("id") % 50 == 0, label=wrong)
+
+
+def op13_main_text(spark: SparkSession, directory: str) -> DataFrame:
+    pages = table(spark, directory, "pages").select("page_id", "url", "html")
+    text = extraction.main_text(F.col("html"), extraction.fit(pages))
+    told = pages.select("page_id", "url", text.alias("text"))
+    return told.withColumn("n_chars", F.char_length("text").cast("long"))
+
+
 QUERIES = {
     "op1_simhash": op1_simhash,
     "op2_language": op2_language,
@@ -146,6 +167,9 @@ QUERIES = {
     "op8_pii": op8_pii,
     "op9_spotsigs": op9_spotsigs,
     "op10_chat": op10_chat,
+    "op11_variants": op11_variants,
+    "op12_hard_negatives": op12_hard_negatives,
+    "op13_main_text": op13_main_text,
 }
 
 _ORACLE_3 = """
@@ -187,6 +211,30 @@ SELECT page_id, host, path, rule, coalesce(verdict, 'allow') AS verdict
 FROM address LEFT JOIN best USING (host, path)
 """
 
+_ORACLE_12 = """
+WITH usable AS (
+    SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+           list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS v
+    FROM embeddings
+    WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+      AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), scored AS (
+    SELECT a.vec_id AS anchor_id, b.vec_id, a.label = b.label AS same,
+           CAST(list_inner_product(a.v, b.v) AS BIGINT) AS score
+    FROM usable a JOIN usable b ON a.vec_id != b.vec_id
+    WHERE a.vec_id % 50 = 0
+), positives AS (
+    SELECT anchor_id, vec_id, score FROM scored WHERE same
+    QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5
+)
+SELECT p.anchor_id, p.vec_id AS positive_id,
+       CAST(row_number() OVER (PARTITION BY p.anchor_id, p.vec_id ORDER BY n.score DESC, n.vec_id) AS INTEGER) AS rank,
+       n.vec_id AS negative_id, p.score AS positive_score, n.score AS negative_score
+FROM positives p JOIN scored n ON n.anchor_id = p.anchor_id AND NOT n.same
+ AND 50 * p.score <= 100 * n.score AND 100 * n.score <= 95 * p.score
+QUALIFY rank <= 3
+"""
+
 
 def _escaped_in_sql(column: str) -> str:
     escape, out = chat.INSTRUCTIONS.escape, column
@@ -219,4 +267,9 @@ SELECT conv_id, n_turns, sha256(turns) AS turns_sha256, length(loss) AS loss_cha
 FROM joined
 """
 
-ORACLES: dict[str, str] = {"op3_top_k": _ORACLE_3, "op7_urls": _ORACLE_7, "op10_chat": _ORACLE_10}
+ORACLES: dict[str, str] = {
+    "op3_top_k": _ORACLE_3,
+    "op7_urls": _ORACLE_7,
+    "op10_chat": _ORACLE_10,
+    "op12_hard_negatives": _ORACLE_12,
+}

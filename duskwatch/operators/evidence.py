@@ -217,10 +217,10 @@ def url_counts(
 ) -> DataFrame:
     """Malware requests from each user's addresses, and their distinct domains.
 
-    The domains behind a user's addresses are a union of sets.  Addresses that several users
-    share are united once for each distinct combination of them, however many users have it; an
-    address of one user alone adds those of its domains that the combination lacks.  So no
-    gateway is multiplied out by its users.
+    The domains behind a user's addresses are a union of sets.  Domains are numbered once, an
+    address's set is a few bitmaps (one for each range of numbers that it touches), and a user's
+    is the union of those of their addresses.  So a gateway with many domains is a few rows for
+    each of its users, and never multiplied out.
     """
     addresses = _pairs(footprint, "src_ip", "ip_address").where("ip_address IS NOT NULL")
     per_domain = (
@@ -230,45 +230,27 @@ def url_counts(
         .agg(F.expr("count(1) AS hits"))
         .join(addresses.select("ip_address").distinct(), "ip_address", "left_semi")
     )
-    holders = addresses.groupBy("ip_address").agg(F.expr("count(1) > 1 AS shared"))
-    held = spread_join(addresses, holders, "ip_address", USER)
-    combined = held.groupBy(USER).agg(
-        F.expr("sort_array(collect_set(CASE WHEN shared THEN ip_address END)) AS combination")
-    )
-    in_common = (
-        combined.select("combination").distinct()
-        .selectExpr("combination", "explode(combination) AS ip_address")
-        .join(per_domain, "ip_address")
-        .groupBy("combination", "domain")
-        .agg(F.expr("sum(hits) AS common_hits"))
+    # numbers need be unique, and close together where bitmaps are to be full
+    numbers = (
+        per_domain.select("domain").where("domain IS NOT NULL").distinct()
+        .withColumn("number", F.monotonically_increasing_id() + 1)
     )
-    common = in_common.groupBy("combination").agg(
-        F.expr("sum(common_hits) AS common_hits"), F.expr("count(1) AS common_domains")
-    )
-    alone = (
-        held.where("NOT shared")
-        .join(per_domain, "ip_address")
-        .groupBy(USER, "domain")
-        .agg(F.expr("sum(hits) AS hits"))
-        .join(combined, USER)
+    numbered = per_domain.join(numbers, "domain", "left").selectExpr(
+        "ip_address",
+        "hits",
+        # null is a domain like any other here; real numbers are in buckets from 1 on
+        "coalesce(bitmap_bucket_number(number), 0L) AS bucket",
+        "coalesce(bitmap_bit_position(number), 0L) AS bit",
     )
-    known = in_common.selectExpr("combination", "domain AS known_domain", "common_hits")
-    # null is a domain like any other here
-    same = (alone["combination"] == known["combination"]) & alone["domain"].eqNullSafe(
-        known["known_domain"]
-    )
-    own = alone.join(known, same, "left").groupBy(USER).agg(
-        F.expr("sum(hits) AS own_hits"), F.expr("count_if(common_hits IS NULL) AS own_domains")
+    sets = numbered.groupBy("ip_address", "bucket").agg(
+        F.expr("sum(hits) AS hits"), F.expr("bitmap_construct_agg(bit) AS domains")
     )
     return (
-        spread_join(combined, common, "combination", USER, "left")
-        .join(own, USER, "left")
-        .selectExpr(
-            f"`{USER}`",
-            "coalesce(common_hits, 0L) + coalesce(own_hits, 0L) AS url_hits",
-            "coalesce(common_domains, 0L) + coalesce(own_domains, 0L) AS url_domains",
-        )
-        .where("url_hits > 0")
+        spread_join(addresses, sets, "ip_address", USER)
+        .groupBy(USER, "bucket")
+        .agg(F.expr("sum(hits) AS hits"), F.expr("bitmap_count(bitmap_or_agg(domains)) AS domains"))
+        .groupBy(USER)
+        .agg(F.expr("sum(hits) AS url_hits"), F.expr("sum(domains) AS url_domains"))
     )
 
 

@@ -12,6 +12,7 @@ from duskwatch.functions.clock import AsOf, wall_clock
 from duskwatch.operators.evidence import USER
 from duskwatch.operators.relational import with_surrogate_ids
 from duskwatch.sources import schemas
+from duskwatch.sources.tables import append, read_path
 
 DISABLE = "Disable User"
 MANUAL_RULE = "Manual request"
@@ -170,3 +171,45 @@ def response_rows(
         {USER: "UserName", "trigger_event": "TriggerEvent", "response_action": "ResponseAction"}
     )
     return _conform(with_surrogate_ids(named, "ID", "UserName", start=first_id), schemas.RESPONSE)
+
+
+# --- writing a hand-off once ------------------------------------------------------------------
+
+CONTENT_KEY = "content_key"
+
+
+def content_key(df: DataFrame, ignoring: Iterable[str] = ()) -> Column:
+    """A hash that rows of equal content share, whatever the order of columns and map entries.
+
+    ``ignoring`` names columns that say nothing about the content, such as an id.
+    """
+    left_out = {name.lower() for name in ignoring}
+    parts = []
+    for field in sorted(df.schema, key=lambda f: f.name):
+        if field.name.lower() in left_out:
+            continue
+        value = F.col(field.name)
+        if isinstance(field.dataType, T.MapType):
+            value = F.array_sort(F.map_entries(value))
+        parts.append(value.alias(field.name))
+    return F.sha2(F.to_json(F.struct(*parts), {"ignoreNullFields": "false"}), 256)
+
+
+def append_once(df: DataFrame, path: str, *, day_column: str, ignoring: Iterable[str] = ()) -> None:
+    """Append the rows of ``df`` that the table at ``path`` does not hold yet.
+
+    Rows are told apart by their content (``content_key``, kept as a column); rows that repeat
+    within ``df`` are written once.  The table is divided by ``day_column``, and only folders of
+    days that occur in ``df`` are read, so running a chain again, after a failure or by mistake,
+    adds nothing and costs a day.  One writer at a time.
+    """
+    spark = df.sparkSession
+    keyed = df.withColumn(CONTENT_KEY, content_key(df, ignoring)).dropDuplicates([CONTENT_KEY])
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    if hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(hadoop):
+        schema = T.StructType([f for f in keyed.schema if f.name != day_column] + [keyed.schema[day_column]])
+        held = read_path(spark, path, schema=schema)
+        days = df.select(day_column).distinct()
+        known = held.join(days, day_column, "left_semi").select(CONTENT_KEY)
+        keyed = keyed.join(known, CONTENT_KEY, "left_anti")
+    append(keyed, path, partition_by=[day_column])

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections import Counter
 from collections.abc import Callable, Sequence
+from typing import Any
 
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql import types as T
@@ -33,6 +34,12 @@ def derive_by_category(
     return df.withColumn(new_column, label)
 
 
+def with_constant(df: DataFrame, new_column: str, value: Any, kind: str | None = None) -> DataFrame:
+    """Add a column that has ``value`` in every row, of type ``kind`` where one is named."""
+    constant = F.lit(value)
+    return df.withColumn(new_column, constant if kind is None else constant.cast(kind))
+
+
 def with_surrogate_ids(
     df: DataFrame, id_column: str, *order_by: str | Column, start: int = 0
 ) -> DataFrame:

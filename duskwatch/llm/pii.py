@@ -93,17 +93,17 @@ def base_spans(text: str) -> list[Span]:
 def windows(text: str) -> list[int]:
     """Starts of the windows to decode: overlapping by half over each stretch around cues."""
     starts: list[int] = []
-    stretch_end, stretch_start = -1, -1
+    stretch_start, stretch_end = 0, None  # no stretch yet
 
     def close() -> None:
-        if stretch_end >= 0:
+        if stretch_end is not None:
             last = max(stretch_start, stretch_end - WINDOW)
             starts.extend(range(stretch_start, last, STRIDE))
             starts.append(last)
 
     for cue in _CUE.finditer(text):
         at = cue.start()
-        if at - MARGIN > stretch_end:
+        if stretch_end is None or at - MARGIN > stretch_end:
             close()
             stretch_start = max(0, at - MARGIN)
         stretch_end = min(len(text), at + 1 + MARGIN)

@@ -3,11 +3,15 @@
 A classifier learned from a labelled table (multinomial logistic regression on words and marks,
 FTRL with an elastic net) predicts each document's posterior over domains, corrected for the
 labelled table's own domain shares and rounded to three decimals.  Rates are then fitted by
-projected gradient: minimise the squared difference between expected domain totals
-``sum(rate * tokens * posterior)`` and the targets over rates >= 0, from rate 1, in the metric
-that weighs a document by its tokens (equal posteriors get equal rates).  Each step is one
-distributed sum of a few numbers over the table of distinct posteriors; the driver holds only
-the residual of each step, from which Spark recomputes any document's rate.
+projected gradient on the squared difference between expected domain totals
+``sum(rate * tokens * posterior)`` and the targets, over rates >= 0, from rate 1, in the metric
+that weighs a document by its tokens (equal posteriors get equal rates).  Steps along the gradient
+at a step's start need thousands of passes when a rare domain has to go, so one long step is taken
+along the gradient at its *end*: ``rate = max(0, 1 - posterior . pulls)``, pulls being the
+differences that these very rates leave, over ``hold`` times the domain's second moment.  The
+end is found by Newton on the pulls, a number for each domain; every trial is one distributed sum
+over the table of distinct posteriors, and the pulls are all that the driver holds.  As ``hold``
+goes to zero the totals are those of the exact nonnegative least squares.
 
 Training uses at most ``per_domain`` labelled documents of each domain (a bounded sample drawn
 by hash); everything else covers all rows.
@@ -34,7 +38,7 @@ from duskwatch.llm.language_id import softmax, train_ftrl
 from duskwatch.sources.staging import stage
 
 PER_DOMAIN = 1200
-RARE = 10  # times that a domain's mass is under the largest one's for it to be weighed up
+HOLD = 0.1  # weight of keeping rates at one, against each domain's own mass
 MARKS = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
 
 
@@ -140,26 +144,26 @@ def classified(text: Column, model: DomainModel) -> Column:
 
 @dataclass(frozen=True)
 class Rates:
-    """Fitted rates as the steps that lead to them."""
+    """Fitted rates: one less the pull of each domain, never below zero."""
 
-    eta: float
-    residuals: tuple[tuple[float, ...], ...]
-    scale: float
-    error: float  # largest difference from a target at the end, as a share of all tokens
-    errors: tuple[float, ...] = ()  # of each domain, as a share of its target or first total
+    pulls: tuple[float, ...]
+    targets: tuple[float, ...]  # of each domain, as a share of all tokens
+    reached: tuple[float, ...]
+    steps: int
+
+    @property
+    def errors(self) -> tuple[float, ...]:
+        """Difference from the target of each domain, as a share of all tokens."""
+        return tuple(abs(r - t) for r, t in zip(self.reached, self.targets))
 
     def column(self, names: list[str]) -> Column:
         """Rate of a row from its posterior columns."""
-        steps = F.array(
-            *[F.struct(*[F.lit(g).alias(f"g{i}") for i, g in enumerate(step)]) for step in self.residuals]
-        )
+        return _rate(names, self.pulls)
 
-        def moved(rate: Column, step: Column) -> Column:
-            pull = sum((F.col(n) * step[f"g{i}"] for i, n in enumerate(names)), F.lit(0.0))
-            return F.greatest(F.lit(0.0), rate - F.lit(self.eta) * pull)
 
-        rate = F.aggregate(steps, F.lit(1.0), moved) if self.residuals else F.lit(1.0)
-        return rate * F.lit(self.scale)
+def _rate(names: list[str], pulls: tuple[float, ...] | np.ndarray) -> Column:
+    pull = sum((F.col(n) * F.lit(float(p)) for n, p in zip(names, pulls)), F.lit(0.0))
+    return F.greatest(F.lit(0.0), F.lit(1.0) - pull)
 
 
 def fit_rates(
@@ -169,9 +173,8 @@ def fit_rates(
     *,
     tokens: str = "n_words",
     keep_all: bool = False,
-    steps: int = 40,
-    tolerance: float = 0.005,
-    relative: float = 0.05,
+    hold: float = HOLD,
+    steps: int = 200,
 ) -> Rates:
     """Rates for ``rows`` with posterior columns ``names`` and target ``weights``.
 
@@ -179,53 +182,64 @@ def fit_rates(
     With ``keep_all`` they are times the least number at which no domain with a positive weight
     has to give up tokens, so that documents are repeated and not thinned out.
 
-    Steps end once every domain is within ``tolerance`` of all tokens and within ``relative`` of
-    its own (target or first total, whichever is more), or when no domain that is not gets 2%
-    nearer in a step.  Where a domain is rare, differences are weighed by the domains' masses,
-    so that a rare one moves as fast as others.
+    ``hold`` says how much a domain's distance from its target may weigh against moving rates
+    away from one: near zero the totals are those of the nonnegative least squares, at 0.1 a
+    domain that is wholly unwanted keeps about a tenth of what only it would pull away.  ``steps`` bounds
+    the search for the step's end, which takes some ten and is an error beyond.
     """
     groups = stage(
         rows.groupBy(*names).agg(F.sum(F.col(tokens).cast("double")).alias("mass")), "posteriors"
     )
     k = range(len(names))
-    sums = [F.sum(F.col("mass") * F.col(n)).alias(f"s{i}") for i, n in enumerate(names)]
-    products = [
-        F.sum(F.col("mass") * F.col(a) * F.col(b)).alias(f"m{i}_{j}")
-        for i, a in enumerate(names)
-        for j, b in enumerate(names)
-    ]
-    first = groups.agg(F.sum("mass").alias("mass"), *sums, *products).first()
-    total = first["mass"] or 0.0
-    if not total:
-        return Rates(1.0, (), 1.0, 0.0)
+
+    def sums(rate: Column) -> list[Column]:
+        """Objective, totals and second moments of the documents that are not at zero."""
+        held = F.col("mass") * rate
+        free = F.when(rate > 0, F.col("mass")).otherwise(F.lit(0.0))
+        return [
+            F.sum(held * rate).alias("square"),
+            *[F.sum(held * F.col(n)).alias(f"s{i}") for i, n in enumerate(names)],
+            *[F.sum(free * F.col(names[i]) * F.col(names[j])).alias(f"m{i}_{j}") for i in k for j in k],
+        ]
+
+    def at(pulls: np.ndarray) -> tuple[float, np.ndarray, np.ndarray]:
+        got = groups.agg(*sums(_rate(names, pulls))).first()
+        moments = np.array([[got[f"m{i}_{j}"] for j in k] for i in k]) / total
+        return got["square"] / total, np.array([got[f"s{i}"] for i in k]) / total, moments
+
+    total = groups.agg(F.sum("mass")).first()[0] or 0.0
     share = np.array(weights, dtype=float) / sum(weights)
-    found = np.array([first[f"s{i}"] for i in k]) / total
-    budget = max([f / w for f, w in zip(found, share) if w > 0]) if keep_all else 1.0
-    gram = np.array([[first[f"m{i}_{j}"] for j in k] for i in k]) / total
-    own = np.maximum(gram.diagonal(), 1e-12)
-    rare = own.max() > RARE * own.min()
-    scales = np.where(gram.diagonal() > 0, own.max() / own, 1.0) if rare else np.ones(len(names))
-    root = np.sqrt(scales)
-    eta = float(1 / max(np.linalg.eigvalsh(root[:, None] * gram * root).max(), 1e-9))
+    if not total:
+        return Rates((0.0,) * len(names), tuple(share.tolist()), (0.0,) * len(names), 0)
+    pulls = np.zeros(len(names))
+    square, reached, moments = at(pulls)
+    budget = max([f / w for f, w in zip(reached, share) if w > 0]) if keep_all else 1.0
     target = share * budget
-    most = np.maximum(np.maximum(found, target), 1e-12)
-    residuals: list[tuple[float, ...]] = []
-    gap, before = found - target, np.full(len(names), np.inf)
-    while len(residuals) < steps:
-        far = np.abs(gap)
-        unmet = (far > tolerance) | (far > relative * most)
-        # until the targets are met, or what is left hardly moves (posteriors of mixed documents)
-        if not (unmet & (far < 0.98 * before)).any():
+    ridge = hold * np.maximum(moments.diagonal(), 1e-12)
+
+    def objective(square: float, pulls: np.ndarray) -> float:
+        return square / 2 + target @ pulls + ridge @ pulls**2 / 2
+
+    taken = 0
+    while True:
+        slope = target - reached + ridge * pulls
+        if np.abs(slope).max() <= 1e-9:
+            break
+        move = -np.linalg.solve(moments + np.diag(ridge), slope)
+        size, value = 1.0, objective(square, pulls)
+        while True:
+            taken += 1
+            if taken > steps:
+                raise ArithmeticError(f"rates not fitted in {steps} steps")
+            tried = pulls + size * move
+            square, reached, moments = at(tried)
+            if objective(square, tried) <= value + 1e-4 * size * (slope @ move) + 1e-13 or size < 1e-9:
+                break
+            size /= 2
+        if size < 1e-9:  # no further within rounding
             break
-        before = far
-        residuals.append(tuple(float(g) for g in gap * scales))
-        rate = Rates(eta, tuple(residuals), 1.0, 0.0).column(names)
-        now = groups.withColumn("rate", rate).agg(
-            *[F.sum(F.col("mass") * F.col("rate") * F.col(n)).alias(f"s{i}") for i, n in enumerate(names)]
-        )
-        gap = np.array(now.first()) / total - target
-    errors = tuple(float(e) for e in np.abs(gap) / most)
-    return Rates(eta, tuple(residuals), 1.0, float(np.abs(gap).max()), errors)
+        pulls = tried
+    return Rates(tuple(pulls.tolist()), tuple(target.tolist()), tuple(reached.tolist()), taken)
 
 
 def mix(
@@ -236,17 +250,23 @@ def mix(
     text: str = "text",
     keep: list[str] | None = None,
     keep_all: bool = False,
+    hold: float = HOLD,
 ) -> DataFrame:
-    """Columns ``keep`` with a posterior column p_<domain> each, n_words and rate."""
+    """Columns ``keep`` with a posterior column p_<domain> each, n_words and rate.
+
+    Then, alike in all rows, for each domain the share of tokens wanted (target_<domain>) and
+    expected under the rates (reached_<domain>).
+    """
     keep = list(docs.columns) if keep is None else keep
     names = [f"p{i}" for i in range(len(model.domains))]
     found = with_results(docs, classified(F.col(text), model), [*keep], [*names, "n_words"])
     inner = [f"kept_{i}" for i in range(len(keep))]
     held = stage(found.toDF(*inner, *names, "n_words"), "mixed")
-    rates = fit_rates(held, names, [weights[d] for d in model.domains], keep_all=keep_all)
-    return held.withColumn("rate", rates.column(names)).toDF(
-        *keep, *[f"p_{d}" for d in model.domains], "n_words", "rate"
-    )
+    rates = fit_rates(held, names, [weights[d] for d in model.domains], keep_all=keep_all, hold=hold)
+    found = [F.lit(v) for pair in zip(rates.targets, rates.reached) for v in pair]
+    out = held.select(*inner, *names, "n_words", rates.column(names), *found)
+    told = [f"{what}_{d}" for d in model.domains for what in ("target", "reached")]
+    return out.toDF(*keep, *[f"p_{d}" for d in model.domains], "n_words", "rate", *told)
 
 
 def copies(rate: Column, *identity: Column) -> Column:

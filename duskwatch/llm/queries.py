@@ -86,7 +86,7 @@ def op6_mixing(spark: SparkSession, directory: str) -> DataFrame:
     docs = table(spark, directory, "documents").select("doc_id", "text")
     labels = labelled_domains(table(spark, directory, "labels"))
     model = mixing.fit(docs, labels, DOMAINS)
-    return mixing.mix(docs, model, DOMAIN_WEIGHTS, keep=["doc_id"])
+    return mixing.mix(docs, model, DOMAIN_WEIGHTS, keep=["doc_id"], hold=1e-6)
 
 
 # Host, path and verdict of each rule

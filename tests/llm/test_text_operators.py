@@ -97,10 +97,21 @@ def test_base_pii_is_that_of_the_patterns(text):
 @settings(max_examples=100, deadline=None)
 def test_windows_cover_every_cue(text):
     starts = pii.windows(text)
+    assert all(s >= 0 for s in starts)
     for cue in re.finditer("[0-9@]", text):
         assert any(s <= cue.start() < s + pii.WINDOW for s in starts)
 
 
+@pytest.mark.parametrize("at", [0, 1, 7, 19, 20, 25, 63, 64, 100])
+def test_windows_read_stretches_from_their_start(at):
+    text = ("1 word " * 40)[:at] + "(499) 555-6503 today please"
+    starts = pii.windows(text)
+    first = next(i for i, c in enumerate(text) if c.isdigit())
+    assert min(starts) == max(0, first - pii.MARGIN)
+    covered = {i for s in starts for i in range(s, s + pii.WINDOW)}
+    assert set(range(first, len(text))) <= covered | set(range(len(text) - 6, len(text)))
+
+
 def test_tagger_learns_spans_and_gradients_are_right():
     draw = random.Random(1)
     texts, spans = [], []
@@ -211,15 +222,25 @@ def test_rates_are_those_of_least_squares(spark):
     tokens = draw.integers(5, 200, 60)
     rows = spark.createDataFrame([(*map(float, x), int(t)) for x, t in zip(p, tokens)], "p0 double, p1 double, p2 double, n_words long")
     names, weights = ["p0", "p1", "p2"], np.array([0.5, 0.3, 0.2])
-    rates = mixing.fit_rates(rows, names, list(weights), tolerance=1e-4, steps=60)
-    rate = np.array([r[0] for r in rows.select(rates.column(names)).collect()])
-    assert (rate >= 0).all() and rates.error <= 1e-4
-    assert np.abs((rate * tokens) @ p / tokens.sum() - weights).max() <= 1e-3
-    by_hand, eta = np.ones(60), rates.eta  # the same steps in numpy
-    for _ in rates.residuals:
-        gap = (by_hand * tokens) @ p / tokens.sum() - weights
-        by_hand = np.maximum(0, by_hand - eta * (p @ gap))
-    assert np.allclose(by_hand, rate, atol=1e-6)
+    for wanted in (weights, np.array([0.7, 0.3, 0.0])):
+        rates = mixing.fit_rates(rows, names, list(wanted), hold=1e-8)
+        rate = np.array([r[0] for r in rows.select(rates.column(names)).collect()])
+        gap = (rate * tokens) @ p / tokens.sum() - wanted
+        assert np.allclose(np.abs(gap), rates.errors, atol=1e-9) and np.allclose(wanted, rates.targets)
+        # the conditions that only an optimum of the nonnegative least squares meets
+        slope = p @ gap
+        assert (rate >= 0).all() and (slope >= -1e-4).all() and np.abs(slope[rate > 0]).max() <= 1e-4
+
+
+def test_more_hold_moves_rates_less(spark):
+    rows = spark.createDataFrame([(0.9, 0.1, 50), (0.2, 0.8, 50), (0.5, 0.5, 0)], "p0 double, p1 double, n_words long")
+    moved = [
+        max(abs(r[0] - 1) for r in rows.select(mixing.fit_rates(rows, ["p0", "p1"], [0.3, 0.7], hold=h).column(["p0", "p1"])).collect())
+        for h in (1e-6, 0.1, 10)
+    ]
+    assert moved[0] > moved[1] > moved[2] > 0
+    none = mixing.fit_rates(rows.limit(0), ["p0", "p1"], [0.3, 0.7])
+    assert none.pulls == (0.0, 0.0) and none.targets == (0.3, 0.7)
 
 
 @pytest.mark.parametrize("keep_all", [False, True])

@@ -98,23 +98,27 @@ class CoverTree:
         return tree
 
     def search(
-        self, asks: np.ndarray, own: np.ndarray, label: np.ndarray, low: np.ndarray, high: np.ndarray,
-        k: int, same: bool, together: int = 8,
+        self, asks: np.ndarray, of: np.ndarray, own: np.ndarray, label: np.ndarray, low: np.ndarray,
+        high: np.ndarray, k: int, same: bool, together: int = 32,
     ) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """The ``k`` best points of each row of ``asks``, as arrays (row, id, score).
+        """The ``k`` best points of each window, as arrays (window, id, score).
 
-        Best is largest score, then least id.  A point counts if its label is (or is not) the
-        row's, its id is not the row's own and its score lies from low to high.  Each round opens
-        the ``together`` most promising nodes of every row; a row is done when no node left can
-        hold a score as good as its k-th.
+        A window asks with row ``of`` of ``asks`` (ascending); best is largest score, then least
+        id.  A point counts if its label is (or is not) the window's, its id is not its own and
+        its score lies from low to high.  Each round opens the ``together`` most promising nodes of
+        every window; a window is done when no node left can hold a score as good as its k-th.
+        Scores are taken once for all windows that ask with one row.
         """
-        n, nodes = len(asks), len(self.radius)
+        n, nodes = len(of), len(self.radius)
         row_, id_, score_ = (np.empty(0, dtype=np.int64) for _ in range(3))
         if not nodes or not n:
             return row_, id_, score_
         q = asks.astype(np.float64)
-        reach = np.sqrt((q**2).sum(1))[:, None]
-        least = np.full(n, _NONE)  # k-th best score so far
+        reach = np.sqrt((q**2).sum(1))
+        most = float(np.abs(asks).max(initial=0)) * float(np.abs(self.vectors).max(initial=0)) * asks.shape[1]
+        exact = most < EXACT  # then floating point gives the integers themselves
+        held = self.vectors.astype(np.float64) if exact else self.vectors
+        least = np.maximum(low, _NONE)  # the score that a point must reach by now
         front = np.full((n, nodes), -np.inf)  # upper bounds of nodes not opened
         front[:, 0] = np.inf
         while True:
@@ -133,28 +137,34 @@ class CoverTree:
             starts = np.flatnonzero(np.r_[True, opened[1:] != opened[:-1]])
             for begin, end in zip(starts, np.r_[starts[1:], len(opened)]):
                 node, who = opened[begin], rows[begin:end]
+                asker = of[who]  # ascending
+                fresh = np.r_[True, asker[1:] != asker[:-1]]
+                first, back = np.flatnonzero(fresh), np.cumsum(fresh) - 1
+                base, many = asker[first], np.diff(np.r_[first, len(who)])
                 a, b = self.kids[node]
                 if b > a:
-                    middle = q[who] @ self.centre[a:b].T
-                    spread = reach[who] * self.radius[a:b]
+                    middle = q[base] @ self.centre[a:b].T
+                    spread = reach[base, None] * self.radius[a:b]
                     slack = 1 + 1e-9 * (np.abs(middle) + spread)
-                    upper = middle + spread + slack
-                    alive = (upper >= low[who, None]) & (middle - spread - slack <= high[who, None])
+                    upper, lower = (middle + spread + slack)[back], (middle - spread - slack)[back]
+                    alive = (upper >= least[who, None]) & (lower <= high[who, None])
                     front[who, a:b] = np.where(alive, upper, -np.inf)
                 a, b = self.points[node]
                 if b > a:
-                    scores = products(asks[who], self.vectors[a:b])
-                    fits = (self.labels[a:b] == label[who, None]) == same
-                    fits &= (self.ids[a:b] != own[who, None]) & (scores >= low[who, None]) & (scores <= high[who, None])
-                    scores = np.where(fits, scores, _NONE)
-                    floor = least[who]
-                    if b - a > k:
-                        kth = np.partition(scores, b - a - k, axis=1)[:, b - a - k]
-                        floor = np.maximum(floor, kth)
-                    r, c = np.nonzero(fits & (scores >= floor[:, None]))
-                    row_ = np.concatenate((row_, who[r]))
-                    id_ = np.concatenate((id_, self.ids[a:b][c]))
-                    score_ = np.concatenate((score_, scores[r, c]))
+                    scores = q[base] @ held[a:b].T if exact else products(asks[base], held[a:b])
+                    bottom = np.minimum.reduceat(least[who], first)[:, None]
+                    r, c = np.nonzero((scores >= bottom) & (scores <= np.maximum.reduceat(high[who], first)[:, None]))
+                    score = scores[r, c].astype(np.int64)
+                    # each hit to all windows that ask with its row
+                    wide = many[r]
+                    begun = np.cumsum(wide) - wide
+                    window = who[np.repeat(first[r] - begun, wide) + np.arange(wide.sum())]
+                    c, score = np.repeat(c, wide) + a, np.repeat(score, wide)
+                    fits = (score >= least[window]) & (score <= high[window])
+                    fits &= ((self.labels[c] == label[window]) == same) & (self.ids[c] != own[window])
+                    row_ = np.concatenate((row_, window[fits]))
+                    id_ = np.concatenate((id_, self.ids[c[fits]]))
+                    score_ = np.concatenate((score_, score[fits]))
             order = np.lexsort((id_, -score_, row_))
             row_, id_, score_ = row_[order], id_[order], score_[order]
             place = np.arange(len(row_)) - np.searchsorted(row_, row_)

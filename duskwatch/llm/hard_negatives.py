@@ -31,7 +31,7 @@ from duskwatch.sources.staging import stage
 BLOCK = 4096  # rows of a tree
 ASKED = 1024  # anchors, or windows, that visit a tree at once
 PIVOTS = 32  # cells at most; bounds cost only
-TOGETHER = 128  # rows of a search
+TOGETHER = 1024  # windows of a search
 
 
 def _matrix(column: pd.Series, width: int) -> np.ndarray:
@@ -111,7 +111,7 @@ def _visited(
     ``blocks`` is an array column of the blocks that a row visits.
     """
     turns = -(-number // ASKED)
-    turn = F.pmod(F.xxhash64("ask"), F.lit(turns)).cast("int")
+    turn = F.pmod(F.xxhash64("vec"), F.lit(turns)).cast("int")  # windows of one vector stay together
     right = asks.withColumn("turn", turn).withColumn("block", F.explode(blocks))
     left = trees.withColumn("turn", F.explode(F.sequence(F.lit(0), F.lit(turns - 1))))
 
@@ -119,10 +119,13 @@ def _visited(
         found = [], [], []
         if len(held) and len(asked):
             tree = CoverTree.unpacked(held["tree"].iat[0])
+            asked = asked.sort_values(["vec", "ask"])
             for at in range(0, len(asked), TOGETHER):
                 some = asked.iloc[at : at + TOGETHER]
+                once = some["vec"].drop_duplicates()
+                of = (some["vec"] != some["vec"].shift()).cumsum().to_numpy() - 1
                 row, id_, score = tree.search(
-                    _matrix(some["vec"], width), some["own"].to_numpy(), some["label"].to_numpy(),
+                    _matrix(once, width), of, some["own"].to_numpy(), some["label"].to_numpy(),
                     some["low"].to_numpy(), some["high"].to_numpy(), k, same,
                 )
                 for out, part in zip(found, (some["ask"].to_numpy()[row], id_, score)):

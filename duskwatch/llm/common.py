@@ -16,6 +16,20 @@ from pyspark.sql import functions as F
 DOCUMENT_COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
 
+BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
+TEXTS = 1000  # in a batch
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Hand whole documents to Python in batches of ``TEXTS`` where the session does not say.
+
+    Spark's own ten thousand is meant for rows of numbers; with long texts, and a batch held by
+    the JVM, by Arrow and by Python each, it is most of what a worker takes.
+    """
+    if int(spark.conf.get(BATCH)) == 10_000:
+        spark.conf.set(BATCH, str(TEXTS))
+
+
 def table(spark: SparkSession, directory: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{directory}/{name}.parquet")
 

@@ -41,7 +41,7 @@ from itertools import combinations
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from duskwatch.llm.components import components
@@ -50,6 +50,7 @@ from duskwatch.sources.staging import stage
 SEED = 42
 FEW = 20  # shingles from which distances tell similarities
 SIDE = 256  # nodes of a block
+RUN = 512  # fingerprints cut into blocks at once
 
 
 @dataclass(frozen=True)
@@ -152,33 +153,45 @@ def _keys(prints: Column, scheme: Scheme) -> Column:
     blocks, per = scheme.bits // scheme.block_bits, scheme.block_bits
     chosen = list(combinations(range(blocks), scheme.together))
 
+    def keys_of(words: np.ndarray) -> np.ndarray:
+        bits = np.unpackbits(words.view(np.uint8), axis=1, bitorder="little")
+        keys = np.empty((len(words), scheme.orders * len(chosen)), dtype=np.int64)
+        for order in range(scheme.orders):
+            at = np.arange(blocks * per) * pow(STEP, order) % scheme.bits
+            parts = bits[:, at].reshape(len(words), blocks, per)
+            packed = np.packbits(parts, axis=2, bitorder="little").astype(np.int64)
+            values = sum(packed[:, :, i] << (8 * i) for i in range(packed.shape[2]))
+            for i, combination in enumerate(chosen, order * len(chosen)):
+                keys[:, i] = i
+                for block in combination:
+                    keys[:, i] = (keys[:, i] << per) | values[:, block]
+        return keys
+
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for column in batches:
             if not len(column):
                 yield pd.Series([], dtype=object)
                 continue
-            words = np.array(column.tolist(), dtype=np.int64)
-            bits = np.unpackbits(words.view(np.uint8), axis=1, bitorder="little")
-            keys = np.empty((len(words), scheme.orders * len(chosen)), dtype=np.int64)
-            for order in range(scheme.orders):
-                at = np.arange(blocks * per) * pow(STEP, order) % scheme.bits
-                parts = bits[:, at].reshape(len(words), blocks, per)
-                packed = np.packbits(parts, axis=2, bitorder="little").astype(np.int64)
-                values = sum(packed[:, :, i] << (8 * i) for i in range(packed.shape[2]))
-                for i, combination in enumerate(chosen, order * len(chosen)):
-                    keys[:, i] = i
-                    for block in combination:
-                        keys[:, i] = (keys[:, i] << per) | values[:, block]
-            yield pd.Series(list(keys), dtype=object)
+            prints_, out = column.tolist(), []
+            for begin in range(0, len(prints_), RUN):
+                out += list(keys_of(np.array(prints_[begin : begin + RUN], dtype=np.int64)))
+            yield pd.Series(out, dtype=object)
 
     run.__annotations__ = {"batches": Iterator[pd.Series], "return": Iterator[pd.Series]}
     return F.pandas_udf(run, "array<long>")(prints)
 
 
 def _met(rows: DataFrame, largest: int) -> tuple[DataFrame, DataFrame]:
-    """From (key, node, ...): pairs a < b within small buckets, and the rows of large ones."""
-    sizes = rows.groupBy("key").agg(F.count("*").alias("n"), F.min("node").alias("least"))
-    shared = stage(rows.join(sizes.where("n > 1"), "key"), "shared")
+    """From (key, node): pairs a < b within small buckets, and the rows of large ones.
+
+    Rows are made and shuffled once; a window over the sorted bucket gives its size and least
+    node, so that keys that are nearly all different never fill a hash table.
+    """
+    bucket = Window.partitionBy("key")
+    sized = rows.select(
+        "key", "node", F.count("*").over(bucket).alias("n"), F.min("node").over(bucket).alias("least")
+    )
+    shared = stage(sized.where("n > 1"), "shared")
     small = shared.where(F.col("n") <= largest)
     left = small.select("key", F.col("node").alias("a"))
     right = small.select("key", F.col("node").alias("b"))

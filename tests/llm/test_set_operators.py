@@ -250,4 +250,5 @@ def test_pipeline_stages(spark):
     assert current.count() > 0 and set(queries.QUERIES) == {
         "op1_simhash", "op2_language", "op3_top_k", "op4_secrets", "op5_bpe",
         "op6_mixing", "op7_urls", "op8_pii", "op9_spotsigs", "op10_chat",
+        "op11_variants", "op12_hard_negatives", "op13_main_text",
     }

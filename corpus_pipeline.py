@@ -9,7 +9,9 @@ of documents; what a stage gives is written as Parquet and read again for the ne
    with the least doc_id stays.
 3. personal_data: every span found is replaced by its kind; n_chars follows the new text.
 4. mixing: toxic text gets target weight zero, good and poor text about what they have; documents
-   are repeated where their rate is above one and dropped where it is under one half.
+   are repeated where their rate is above one and dropped where it is under one half.  Rates are
+   held to one (``mixing.HOLD``): posteriors give clean text a little toxic mass too, and meeting
+   zero exactly would take most of it along.
 5. encoding: ids and decoded text of every document under the public word vocabulary.
 """
 
@@ -20,7 +22,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from duskwatch.llm import bpe, language_id, mixing, pii, simhash
-from duskwatch.llm.common import DOCUMENT_COLUMNS, table, with_results
+from duskwatch.llm.common import DOCUMENT_COLUMNS, small_batches, table, with_results
 from duskwatch.llm.queries import DOMAIN_WEIGHTS, DOMAINS, labelled_domains
 from duskwatch.sources.staging import stage
 
@@ -32,6 +34,7 @@ def _documents(df: DataFrame) -> DataFrame:
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    small_batches(spark)
     model = language_id.fit(docs)
     told = language_id.identify(_documents(docs), model)
     kept = told.where(
@@ -42,6 +45,7 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One row of each group stays, that of least doc_id (then of least text hash)."""
+    small_batches(spark)
     key = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", F.xxhash64("text").alias("h"))
     docs = _documents(docs).withColumn("row_key", key)
     found = simhash.near_duplicates(docs, simhash.SIMILAR, key="row_key")
@@ -55,12 +59,14 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    small_batches(spark)
     tagger = pii.fit(docs)
     clean = _documents(docs).withColumn("text", pii.redacted(F.col("text"), tagger))
     return clean.withColumn("n_chars", F.char_length("text").cast("long"))
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    small_batches(spark)
     model = mixing.fit(docs, labelled_domains(table(spark, sf_dir, "labels")), DOMAINS)
     rated = mixing.mix(_documents(docs), model, DOMAIN_WEIGHTS, keep_all=True)
     number = mixing.copies(F.col("rate"), F.col("doc_id"), F.col("text"))
@@ -71,6 +77,7 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def encoding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    small_batches(spark)
     path = public_tokenizers.path("word_bpe_49k.json")
     fields = ["n_tokens", "ids_sha256", "decoded_sha256"]
     return with_results(docs, bpe.token_digests(F.col("text"), path), ["doc_id", "lang", "source"], fields)

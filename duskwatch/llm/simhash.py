@@ -23,8 +23,9 @@ just when some fingerprint is within one bit of both, so each sends itself to it
 is linked to the least node there - 65 rows a node, whatever the bucket's size, and nothing
 missed.  For ``SIMILAR`` their nodes are first compared with the bucket's least node; a bucket
 that the links found so far leave in several components is then dealt to blocks, and every block
-is compared with every block, but for pairs that are in one component already.  Only components
-are asked for, so nothing is missed here either, and a crowd of near copies makes few rows.
+is compared with every block, shingles included, but for pairs that are in one component already.
+What leaves a comparison is a forest, so a crowd, alike or not, makes few rows; only components
+are asked for, so nothing is missed here either.
 
 Defined results: a text that is null or has no word has an all-zero fingerprint, linked like
 any other; with fewer words than a shingle has, the whole sequence is the shingle.  Rows with a
@@ -254,6 +255,15 @@ def _shingle_sets(text: Column, words: int) -> Column:
     return F.pandas_udf(run, "array<long>").asNondeterministic()(text)
 
 
+def _sets(asked: DataFrame, nodes: DataFrame, texts: DataFrame, scheme: Scheme) -> DataFrame:
+    """(node, items): the sorted shingles of each node of ``asked``."""
+    tags = nodes.join(asked, "node", "left_semi").select("node", "tag")
+    found = texts.join(tags, "tag").dropDuplicates(["node"])
+    return stage(
+        found.select("node", _shingle_sets(F.col("text"), scheme.words).alias("items")), "sets"
+    )
+
+
 def _decided(close: DataFrame, nodes: DataFrame, texts: DataFrame, scheme: Scheme) -> DataFrame:
     """Links (a, b) of ``close``: the sure ones, and others if their shingles are alike enough.
 
@@ -261,12 +271,7 @@ def _decided(close: DataFrame, nodes: DataFrame, texts: DataFrame, scheme: Schem
     """
     close = stage(close, "close")
     open_ = close.where(F.col("differing") > scheme.sure).select("a", "b")
-    asked = open_.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-    tags = nodes.join(asked, "node", "left_semi").select("node", "tag")
-    found = texts.join(tags, "tag").dropDuplicates(["node"])
-    sets = stage(
-        found.select("node", _shingle_sets(F.col("text"), scheme.words).alias("items")), "sets"
-    )
+    sets = _sets(open_.select(F.explode(F.array("a", "b")).alias("node")).distinct(), nodes, texts, scheme)
     x = sets.select(F.col("node").alias("a"), F.col("items").alias("x"))
     y = sets.select(F.col("node").alias("b"), F.col("items").alias("y"))
     alike = open_.join(x, "a").join(y, "b").where(_alike("x", "y") >= scheme.similarity)
@@ -286,11 +291,11 @@ def _rarest(nodes: DataFrame, similarity: float) -> DataFrame:
     return rarest.select(F.col("e.item").alias("key"), "node")
 
 
-def _block_pairs(cell: pd.DataFrame, scheme: Scheme) -> pd.DataFrame:
-    """Pairs (a, b, differing) of two blocks (or of one with itself) that can join components.
+def _cell_links(cell: pd.DataFrame, scheme: Scheme) -> pd.DataFrame:
+    """Links (a, b) between two blocks (or within one) that join components: a forest of them.
 
-    Of pairs that need no further decision those of a spanning forest are enough, and no other
-    pair is needed within what they join.
+    Pairs within a sure distance link; the others, nearest first, have their shingles compared
+    unless what was linked before has joined them already.
     """
     one = cell[cell["part"] == cell["i"]].reset_index(drop=True)
     two = cell[cell["part"] == cell["j"]].reset_index(drop=True)
@@ -299,7 +304,7 @@ def _block_pairs(cell: pd.DataFrame, scheme: Scheme) -> pd.DataFrame:
     apart = left[:, None] != right
     if cell["i"].iat[0] == cell["j"].iat[0]:
         apart &= np.tri(len(one), k=-1, dtype=bool)
-    a, b, differing = [], [], []
+    a, b = [], []
     if apart.any():
 
         def signs(rows: pd.DataFrame) -> np.ndarray:
@@ -308,12 +313,10 @@ def _block_pairs(cell: pd.DataFrame, scheme: Scheme) -> pd.DataFrame:
             return bits.astype(np.float32) * 2 - 1
 
         distance = ((scheme.bits - signs(one) @ signs(two).T) / 2).astype(np.int32)
-        sets = [[None if v is None else set(v) for v in rows["items"]] for rows in (one, two)]
-        few = [np.array([v is not None for v in side], dtype=bool) for side in sets]
-        for x, y in zip(*np.nonzero(apart & few[0][:, None] & few[1])):
-            shared = len(sets[0][x] & sets[1][y])
-            union = len(sets[0][x]) + len(sets[1][y]) - shared
-            distance[x, y] = 0 if shared / union >= scheme.similarity else scheme.bits + 1
+        sets = one["items"].tolist(), two["items"].tolist()  # sorted, without repeats
+        few = [np.array([len(v) < FEW / scheme.similarity for v in side], dtype=bool) for side in sets]
+        open_ = (few[0][:, None] & few[1]) | (distance > scheme.sure)
+        asked = apart & ((distance <= scheme.distance) | (few[0][:, None] & few[1]))
         parent = list(range(len(names)))
 
         def find(at: int) -> int:
@@ -321,28 +324,28 @@ def _block_pairs(cell: pd.DataFrame, scheme: Scheme) -> pd.DataFrame:
                 parent[at] = at = parent[parent[at]]
             return at
 
-        kept = []
-        for x, y in zip(*np.nonzero(apart & (distance <= scheme.sure))):
-            p, q = find(left[x]), find(right[y])
-            if p != q:
-                parent[p] = q
-                kept.append((x, y))
-        joined = np.array([find(at) for at in range(len(names))])
-        undecided = (distance > scheme.sure) & (distance <= scheme.distance)
-        kept += zip(*np.nonzero(apart & undecided & (joined[left][:, None] != joined[right])))
         nodes = one["node"].to_numpy(), two["node"].to_numpy()
-        for x, y in kept:
-            first, second = nodes[0][x], nodes[1][y]
-            a.append(min(first, second))
-            b.append(max(first, second))
-            differing.append(distance[x, y])
-    return pd.DataFrame({"a": a, "b": b, "differing": differing}).astype(
-        {"a": "int64", "b": "int64", "differing": "int32"}
-    )
-
-
-def _crowded(large: DataFrame, nodes: DataFrame, roots: DataFrame, scheme: Scheme) -> DataFrame:
-    """Pairs (a, b, differing) of large buckets' nodes that ``roots`` (node, root) leaves apart."""
+        x, y = np.nonzero(asked)
+        order = np.lexsort((distance[x, y], open_[x, y]))
+        for x, y, undecided in zip(x[order], y[order], open_[x, y][order]):
+            p, q = find(left[x]), find(right[y])
+            if p == q:
+                continue
+            if undecided:
+                shared = len(np.intersect1d(sets[0][x], sets[1][y], assume_unique=True))
+                union = len(sets[0][x]) + len(sets[1][y]) - shared
+                if not union or shared / union < scheme.similarity:
+                    continue
+            parent[p] = q
+            a.append(min(nodes[0][x], nodes[1][y]))
+            b.append(max(nodes[0][x], nodes[1][y]))
+    return pd.DataFrame({"a": a, "b": b}).astype("int64")
+
+
+def _crowded(
+    large: DataFrame, nodes: DataFrame, texts: DataFrame, roots: DataFrame, scheme: Scheme
+) -> DataFrame:
+    """Links (a, b) among large buckets' nodes that ``roots`` (node, root) leaves apart."""
     known = large.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     known = stage(known.select("key", "node", "n", "root"), "crowds")
     hashed = F.xxhash64("node")
@@ -355,7 +358,8 @@ def _crowded(large: DataFrame, nodes: DataFrame, roots: DataFrame, scheme: Schem
     # buckets of the same nodes are one
     once = open_.where("low < high").groupBy("n", "mixed", "total").agg(F.min("key").alias("key"))
     parts = F.ceil(F.col("n") / SIDE).cast("int")
-    dealt = known.join(once.select("key"), "key", "left_semi").select(
+    held = stage(known.join(once.select("key"), "key", "left_semi"), "apart")
+    dealt = held.select(
         "key",
         "node",
         "root",
@@ -363,15 +367,17 @@ def _crowded(large: DataFrame, nodes: DataFrame, roots: DataFrame, scheme: Schem
         F.explode(F.sequence(F.lit(0), parts - 1)).alias("other"),
     )
     cells = dealt.withColumns({"i": F.least("part", "other"), "j": F.greatest("part", "other")})
+    sets = _sets(held.select("node").distinct(), nodes, texts, scheme)
 
     def solve(cell: pd.DataFrame) -> pd.DataFrame:
-        return _block_pairs(cell, scheme)
+        return _cell_links(cell, scheme)
 
     return (
         cells.drop("other")
-        .join(nodes.select("node", "print", "items"), "node")
+        .join(nodes.select("node", "print"), "node")
+        .join(sets, "node")
         .groupBy("key", "i", "j")
-        .applyInPandas(solve, "a long, b long, differing int")
+        .applyInPandas(solve, "a long, b long")
         .distinct()
     )
 
@@ -394,9 +400,8 @@ def _similar_links(nodes: DataFrame, texts: DataFrame, scheme: Scheme, largest:
     stars = large.where("node > least").select(F.col("least").alias("a"), F.col("node").alias("b"))
     close = _verified(pairs.union(stars), nodes, scheme)
     roots = components(_decided(close, nodes, texts, scheme))
-    more = _crowded(large, nodes, roots, scheme)
     links = roots.select(F.col("root").alias("a"), F.col("node").alias("b"))
-    return links.union(_decided(more, nodes, texts, scheme))
+    return links.union(_crowded(large, nodes, texts, roots, scheme))
 
 
 def near_duplicates(

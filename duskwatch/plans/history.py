@@ -33,6 +33,13 @@ def window_totals(
     return new_rows.groupBy(comparative_column, start).agg(volume.alias(VOLUME))
 
 
+def merged_totals(totals: DataFrame) -> DataFrame:
+    """Portions of the same entity and window as one row; what ``portions.compact`` needs."""
+    by = [c for c in totals.columns if c != VOLUME]
+    dtype = column_type(totals, VOLUME)
+    return totals.groupBy(*by).agg(F.sum(VOLUME).cast(dtype).alias(VOLUME))
+
+
 def surges_in_totals(
     totals: DataFrame, comparative_column: str, timestamp_column: str = "_event_time", **limits: Any
 ) -> DataFrame:

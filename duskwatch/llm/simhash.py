@@ -21,9 +21,11 @@ at most ``bucket`` nodes are paired within by a join.  Larger ones are not paire
 ``EXACT`` their nodes are linked through *centres*: two fingerprints differ in at most two bits
 just when some fingerprint is within one bit of both, so each sends itself to its 65 centres and
 is linked to the least node there - 65 rows a node, whatever the bucket's size, and nothing
-missed.  For ``SIMILAR`` their nodes are first compared with the bucket's least node; a bucket
-that the links found so far leave in several components is then dealt to blocks, and every block
-is compared with every block, shingles included, but for pairs that are in one component already.
+missed.  For ``SIMILAR`` their nodes are first compared with the bucket's least node; then pairs
+are made within small buckets, but not of nodes in one component, of which near copies of one
+text would make many.  A large bucket that all these links leave in several components is dealt
+to blocks, and every block is compared with every block, shingles included, again but for pairs
+that are in one component already.
 What leaves a comparison is a forest, so a crowd, alike or not, makes few rows; only components
 are asked for, so nothing is missed here either.
 
@@ -182,8 +184,8 @@ def _keys(prints: Column, scheme: Scheme) -> Column:
     return F.pandas_udf(run, "array<long>")(prints)
 
 
-def _met(rows: DataFrame, largest: int) -> tuple[DataFrame, DataFrame]:
-    """From (key, node): pairs a < b within small buckets, and the rows of large ones.
+def _shared(rows: DataFrame) -> DataFrame:
+    """From (key, node) the rows of keys that several nodes have, with n and the least of them.
 
     Rows are made and shuffled once; a window over the sorted bucket gives its size and least
     node, so that keys that are nearly all different never fill a hash table.
@@ -192,7 +194,12 @@ def _met(rows: DataFrame, largest: int) -> tuple[DataFrame, DataFrame]:
     sized = rows.select(
         "key", "node", F.count("*").over(bucket).alias("n"), F.min("node").over(bucket).alias("least")
     )
-    shared = stage(sized.where("n > 1"), "shared")
+    return stage(sized.where("n > 1"), "shared")
+
+
+def _met(rows: DataFrame, largest: int) -> tuple[DataFrame, DataFrame]:
+    """From (key, node): pairs a < b within small buckets, and the rows of large ones."""
+    shared = _shared(rows)
     small = shared.where(F.col("n") <= largest)
     left = small.select("key", F.col("node").alias("a"))
     right = small.select("key", F.col("node").alias("b"))
@@ -200,6 +207,22 @@ def _met(rows: DataFrame, largest: int) -> tuple[DataFrame, DataFrame]:
     return pairs, shared.where(F.col("n") > largest)
 
 
+def _apart(small: DataFrame, roots: DataFrame) -> DataFrame:
+    """Pairs a < b within buckets whose nodes ``roots`` (node, root) leaves in several components.
+
+    Pairs within one component are not made: near copies of one text share many small buckets.
+    """
+    known = small.select("key", "node").join(roots, "node", "left")
+    known = known.withColumn("root", F.coalesce("root", "node"))
+    bucket = Window.partitionBy("key")  # of at most ``largest`` rows
+    split = known.withColumns({"low": F.min("root").over(bucket), "high": F.max("root").over(bucket)})
+    split = stage(split.where("low < high").select("key", "node", "root"), "split")
+    left = split.select("key", F.col("node").alias("a"), F.col("root").alias("x"))
+    right = split.select("key", F.col("node").alias("b"), F.col("root").alias("y"))
+    same = left.join(right, "key").where("a < b AND x != y")
+    return same.select("a", "b")
+
+
 def _through_centres(nodes: DataFrame, large: DataFrame) -> DataFrame:
     """Links at two bits or fewer among the nodes of large buckets."""
     crowd = nodes.join(large.select("node").distinct(), "node", "left_semi")
@@ -396,10 +419,13 @@ def _similar_links(nodes: DataFrame, texts: DataFrame, scheme: Scheme, largest:
     enough = nodes.where(F.col("items").isNull() | (F.size("items") >= FEW))
     keys = enough.select("node", _keys(F.col("print"), scheme).alias("keys"))
     keys = keys.select(F.explode("keys").alias("key"), "node")
-    pairs, large = _met(keys.union(_rarest(nodes, scheme.similarity)), largest)
+    shared = _shared(keys.union(_rarest(nodes, scheme.similarity)))
+    large, small = shared.where(F.col("n") > largest), shared.where(F.col("n") <= largest)
     stars = large.where("node > least").select(F.col("least").alias("a"), F.col("node").alias("b"))
-    close = _verified(pairs.union(stars), nodes, scheme)
-    roots = components(_decided(close, nodes, texts, scheme))
+    roots = components(_decided(_verified(stars, nodes, scheme), nodes, texts, scheme))
+    forest = roots.select(F.col("root").alias("a"), F.col("node").alias("b"))
+    near = _decided(_verified(_apart(small, roots), nodes, scheme), nodes, texts, scheme)
+    roots = components(forest.union(near))
     links = roots.select(F.col("root").alias("a"), F.col("node").alias("b"))
     return links.union(_crowded(large, nodes, texts, roots, scheme))
 

@@ -6,11 +6,12 @@ fitted on rows the training did not see, calibrates its probabilities.
 
 Document frequencies are counted over every learning row, in tasks; the training itself uses
 at most ``per_language`` rows of each language (a bounded sample drawn by hash, the same on
-every run) and gets only their sparse vectors from the executors.
+every run) and gets only their sparse vectors from the executors.  The ``most_languages``
+commonest languages are learned (ties by name): the model has a column of weights for each.
 
 Defined results: a text that is null or has no letter is ``und`` with score 1; rows without a
 language teach nothing; with no rows to learn from, every text is ``und``.  Repeated rows
-count as often as they occur.  Columns other than those named are ignored.
+count as often as they occur in document frequencies and once in the sample.  Columns other than those named are ignored.
 """
 
 from __future__ import annotations
@@ -29,6 +30,7 @@ BITS = 15
 SIZE = 1 << BITS
 UNDETERMINED = "und"
 PER_LANGUAGE = 600
+MOST_LANGUAGES = 200
 
 
 @dataclass(frozen=True)
@@ -100,14 +102,17 @@ def document_frequencies(docs: DataFrame, text: str) -> tuple[int, np.ndarray]:
     return total, frequencies
 
 
-def learning_rows(docs: DataFrame, text: str, label: str, key: str, per_language: int) -> list:
-    """Sparse counts and language of at most ``per_language`` rows of each language."""
+def learning_rows(
+    docs: DataFrame, text: str, label: str, key: str, per_language: int, most_languages: int
+) -> list:
+    """Sparse counts and language of at most ``per_language`` rows of each learned language."""
     rows = docs.select(
         F.col(text).alias("text"),
         F.col(label).cast("string").alias("label"),
         F.xxhash64(F.col(key).cast("string"), F.col(text)).alias("draw"),
     ).where("label is not null")
-    sizes = {r["label"]: r["count"] for r in rows.groupBy("label").count().collect()}
+    common = rows.groupBy("label").count().orderBy(F.col("count").desc(), "label").limit(most_languages)
+    sizes = {r["label"]: r["count"] for r in common.collect()}
     if not sizes:
         return []
     # the share below which a row's hash must lie; the exact number is cut below
@@ -115,6 +120,8 @@ def learning_rows(docs: DataFrame, text: str, label: str, key: str, per_language
         *[F.lit(v) for k, n in sizes.items() for v in (k, min(1.0, 1.3 * per_language / n))]
     )
     drawn = rows.where(F.abs(F.col("draw") / F.lit(2.0**63)) <= share[F.col("label")])
+    # equal rows are drawn together: one of them, before anything leaves a task
+    drawn = drawn.groupBy("label", "draw").agg(F.min("text").alias("text"))
 
     def vectorise(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         vectors = Vectors()
@@ -201,12 +208,13 @@ def fit(
     label: str = "lang",
     key: str = "doc_id",
     per_language: int = PER_LANGUAGE,
+    most_languages: int = MOST_LANGUAGES,
 ) -> LanguageModel:
     """Learn from the rows of ``docs`` whose ``label`` is not null."""
     labelled = docs.where(F.col(label).isNotNull())
     total, frequencies = document_frequencies(labelled, text)
     idf = np.log((1 + total) / (1 + frequencies)) + 1
-    sample = learning_rows(labelled, text, label, key, per_language)
+    sample = learning_rows(labelled, text, label, key, per_language, most_languages)
     languages = tuple(sorted({name for name, _, _ in sample}))
     number = {name: i for i, name in enumerate(languages)}
     rows = [(number[name], *weigh((at, counts), idf)) for name, at, counts in sample]

@@ -18,7 +18,8 @@ by hash); everything else covers all rows.
 
 Defined results: a null or empty text has no tokens and the posterior its lack of words gives;
 labels that are null or name no document teach nothing; without any, posteriors are uniform;
-no documents, no rows.  A key repeated in the labelled table counts once for each row.
+no documents, no rows.  A key repeated with one domain in the labelled table counts once; of
+documents that repeat a labelled key the least text is learned from.
 Columns other than those named are kept where asked for and otherwise ignored.
 """
 
@@ -83,8 +84,8 @@ def fit(
 ) -> DomainModel:
     """Learn from ``labels`` (key, domain) joined to the texts of ``docs``."""
     rows = labels.select(F.col(key).alias("key"), F.col(domain).alias("domain"))
-    rows = rows.where(F.col("key").isNotNull() & F.col("domain").isin(*domains))
-    rows = rows.withColumn("draw", F.xxhash64(F.col("key").cast("string")))
+    rows = rows.where(F.col("key").isNotNull() & F.col("domain").isin(*domains)).distinct()
+    rows = stage(rows.withColumn("draw", F.xxhash64(F.col("key").cast("string"))), "labels")
     sizes = {r["domain"]: r["count"] for r in rows.groupBy("domain").count().collect()}
     if not sizes:
         return DomainModel(domains, {}, np.zeros((1, len(domains))), np.zeros(len(domains)))
@@ -92,9 +93,11 @@ def fit(
         *[F.lit(v) for k, n in sizes.items() for v in (k, min(1.0, 1.3 * per_domain / n))]
     )
     drawn = rows.where(F.abs(F.col("draw") / F.lit(2.0**63)) <= share[F.col("domain")])
+    # keys are distinct, so about 1.3 * per_domain rows of each domain; the limit proves the bound
+    drawn = drawn.orderBy("draw", "domain").limit(2 * per_domain * len(domains))
     texts = docs.select(F.col(key).alias("key"), F.col(text).alias("text"))
-    # at most about 1.3 * per_domain rows of each domain: a bounded side
-    joined = texts.join(F.broadcast(drawn), "key")
+    # one text a key before anything leaves a task, however often documents repeat it
+    joined = texts.join(F.broadcast(drawn), "key").groupBy("key", "domain", "draw").agg(F.min("text").alias("text"))
 
     def words(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:

@@ -4,7 +4,9 @@ Candidates are runs of at least ``WINDOW`` characters of the alphabet in which k
 A window slides over each; the number of times every character is in it is kept up to date, and
 with it the Shannon entropy, one addition and one removal a step.  The limit depends on the
 characters the window holds (digits and one case of a-f; letters of one case and digits; both
-cases).  Windows above it join into spans; a span that the allow-list knows is dropped.
+cases).  Windows above it join into spans.  What base spans cover and what the allow-list knows is
+cut out of a run first, and windows slide over each piece that is left: a key beside a listed word
+or a base span is found, the word itself is not.
 
 Defined results: a null text is empty, an empty text has no spans; rows are independent of each
 other and other columns are ignored.  A base span is never changed or dropped, and a span of
@@ -14,7 +16,9 @@ kind ``entropy`` never overlaps one.
 from __future__ import annotations
 
 import re
+from bisect import bisect_right
 from collections.abc import Iterator
+from itertools import accumulate
 from math import log2
 
 import pandas as pd
@@ -36,13 +40,16 @@ _CANDIDATE = re.compile(r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_=-]{20,}+")
 
 # Bits of entropy that a window of each class must reach
 LIMITS = {"hex": 3.0, "one case": 3.7, "both cases": 3.8}
-# What looks random and is no secret
+# What looks random and is no secret (identifiers, digests of public files), and words
+# that mark the part between two separators in which they stand
 ALLOWED = (
-    r"[0-9a-fA-F]{8}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{12}",
-    r"(?i:.*(example|sample|placeholder|changeme|your[_-]?key|xxxx|0123456789|abcdefgh).*)",
-    r"(?i:sha(1|256|384|512)-.*)",
+    r"(?<![0-9a-fA-F])[0-9a-fA-F]{8}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{12}(?![0-9a-fA-F])",
+    r"(?i:sha(1|256|384|512)-[a-z0-9+/=]+)",
 )
+MARKERS = r"(?i:example|sample|placeholder|changeme|your[_-]?key|xxxx|0123456789|abcdefgh)"
 _ALLOWED = re.compile("|".join(f"(?:{a})" for a in ALLOWED))
+_MARKERS = re.compile(MARKERS)
+_SEPARATOR = re.compile("[/=]")
 # n log2 n, by which the entropy of counts is kept up to date
 _LOGS = [0.0] + [n * log2(n) for n in range(1, WINDOW + 1)]
 
@@ -102,19 +109,47 @@ def base_spans(text: str) -> list[tuple[str, int, int]]:
     return sorted(found, key=lambda s: (s[1], KINDS.index(s[0])))
 
 
+def allowed_spans(run: str) -> list[tuple[int, int]]:
+    """What the allow-list knows of a run: its matches, and the parts that hold a marker."""
+    found, done = [m.span() for m in _ALLOWED.finditer(run)], 0
+    for marker in _MARKERS.finditer(run):
+        if marker.end() <= done:
+            continue
+        start = max(done, run.rfind("/", done, marker.start()) + 1, run.rfind("=", done, marker.start()) + 1)
+        after = _SEPARATOR.search(run, marker.end())
+        done = after.start() if after else len(run)
+        found.append((start, done))
+    return found
+
+
+def _left_over(length: int, taken: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    """The stretches of 0 to ``length`` outside all of ``taken``."""
+    out, at = [], 0
+    for start, end in sorted(taken):
+        if start > at:
+            out.append((at, start))
+        at = max(at, end)
+    return out + [(at, length)] if at < length else out
+
+
 def find(text: str | None) -> list[tuple[str, int, int, bool]]:
     """All spans of a text, by start and then kind; the last field marks base spans."""
     text = text or ""
     base = base_spans(text)
     every = [(*s, True) for s in base]
+    nearest = 0  # base spans before it end before the current run
+    reach = list(accumulate((e for _, _, e in base), max))
     for run in _CANDIDATE.finditer(text):
         if run[0].isalpha() or not any(c.isdigit() for c in run[0]):
             continue
-        for s, e in entropy_spans(run[0]):
-            start, end = run.start() + s, run.start() + e
-            free = all(end <= b or start >= c for _, b, c in base)
-            if free and not _ALLOWED.fullmatch(run[0]):
-                every.append(("entropy", start, end, False))
+        nearest = bisect_right(reach, run.start(), nearest)
+        taken, at = allowed_spans(run[0]), nearest
+        while at < len(base) and base[at][1] < run.end():
+            taken.append((base[at][1] - run.start(), base[at][2] - run.start()))
+            at += 1
+        for start, end in _left_over(len(run[0]), taken):
+            for s, e in entropy_spans(run[0][start:end]):
+                every.append(("entropy", run.start() + start + s, run.start() + start + e, False))
     return sorted(every, key=lambda s: (s[1], KINDS.index(s[0])))
 
 

@@ -68,6 +68,45 @@ def test_entropy_adds_keys_and_leaves_words_and_allowed_strings():
     assert secrets.find("id 123e4567-e89b-12d3-a456-426614174000 x") == []
 
 
+KEY = "Zk39dLmQp77TrVwXy31bZq8"
+
+
+@pytest.mark.parametrize(
+    "text",
+    [
+        f"sample_key={KEY}", f"docs/sample/{KEY}", f"{KEY}/xxxx", f"a {KEY}=example=x", f"/0123456789/{KEY}/abcdefgh",
+        f"123e4567-e89b-12d3-a456-426614174000/{KEY}", f"token=abcdefghijkl0123/+x {KEY}", f"{'0a1b2c3d' * 2}/{KEY}",
+    ],
+)
+def test_keys_beside_listed_words_and_base_spans_are_found(text):
+    found = [text[s:e] for kind, s, e, _ in secrets.find(text) if kind == "entropy"]
+    assert len(found) == 1 and KEY in found[0] and len(found[0]) <= len(KEY) + 2
+
+
+def test_listed_words_are_left_alone():
+    for text in (f"example{KEY}", f"x/{KEY}xxxx/y", "sha384-oqVuAfXRKap7fdgcCY5uykM6+R9GqQ8K/uxy9rx7HNQlGYl1kPzQho1wx4JwY8wC",
+                 "id=123e4567-e89b-12d3-a456-426614174000", "=" * 30000, "xxxx/" * 5000 + "1"):
+        assert secrets.find(text) == []
+
+
+@given(st.lists(st.sampled_from(PARTS + [KEY, "/", "=", "sample", "example/"]), max_size=14).map("".join))
+@settings(max_examples=300, deadline=None)
+def test_entropy_spans_overlap_nothing_known(text):
+    base, rest = plain_secrets(text), [s for s in secrets.find(text) if not s[3]]
+    assert all(e <= b or s >= c for _, s, e, _ in rest for _, b, c in base)
+    assert all(e - s >= secrets.WINDOW and not secrets.allowed_spans(text[s:e]) for _, s, e, _ in rest)
+
+
+def test_recall_and_false_alarms_of_planted_keys():
+    draw = random.Random(11)
+    words = [" ".join("".join(draw.choice("etaoinshrdlu") for _ in range(draw.randrange(2, 14))) for _ in range(60)) for _ in range(400)]
+    letters = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"
+    keys = ["".join(draw.choices(letters, k=draw.randrange(24, 48))) for _ in words]
+    hit = sum(any(s[0] == "entropy" for s in secrets.find(f"{w} {k} {w}")) for w, k in zip(words, keys))
+    assert hit >= 0.97 * len(keys)
+    assert not any(secrets.find(w) for w in words)
+
+
 # -- personal data
 
 
@@ -201,6 +240,22 @@ def test_language_on_held_out_documents(spark):
     assert (model.weights == 0).mean() > 0.2  # the penalty leaves weights at zero
 
 
+def test_samples_hold_for_hot_rows_and_many_labels(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text", "lang")
+    labels = spark.read.parquet("/root/testdata/sf0.001/labels.parquet")
+    plain = language_id.learning_rows(docs, "text", "lang", "doc_id", 600, 200)
+    often = language_id.learning_rows(docs.union(docs).union(docs), "text", "lang", "doc_id", 600, 200)
+    flat = lambda rows: [(name, at.tolist(), n.tolist()) for name, at, n in rows]
+    assert flat(plain) == flat(often) and len(plain) > 100
+    dirty = docs.withColumn("lang", F.when(F.col("doc_id") % 2 == 0, "en").otherwise(F.col("doc_id").cast("string")))
+    assert len(language_id.fit(dirty, most_languages=3).languages) == 3
+    domains = labels.select("doc_id", F.when(F.col("toxic") == 1, "toxic").otherwise("good").alias("domain"))
+    once = mixing.fit(docs, domains, ("good", "toxic"))
+    thrice = mixing.fit(docs.union(docs), domains.union(domains).union(domains), ("good", "toxic"))
+    assert once.vocabulary == thrice.vocabulary and np.array_equal(once.weights, thrice.weights)
+    assert np.array_equal(once.shift, thrice.shift)
+
+
 def test_language_on_awkward_rows(awkward, nothing):
     model = language_id.fit(awkward)
     got = language_id.identify(awkward, model, keep=["doc_id", "text", "score"])

@@ -2,8 +2,10 @@
 
 Each round hooks every node to the least neighbour it knows and costs two aggregations and
 two joins; the number of rounds grows with the logarithm of the longest path.  Neighbour
-lists are never gathered: minima are partial aggregates and joins on a node with a large share
-of the edges can be split.  Rounds are cut by tables in the shared folder.
+lists are never gathered and minima are partial aggregates, but the join of edges with a node's
+least neighbour takes all edges of that node in one task (a sort-merge join, which spills).
+Callers hand on forests and stars by distinct texts, which keeps such hubs rare.  Rounds are cut by
+tables in the shared folder.
 """
 
 from __future__ import annotations

@@ -1,16 +1,21 @@
 """Exact top-k by inner product: a Voronoi join.
 
 Equal vectors are one candidate (only its ``k`` + 1 least ids can ever be among a query's best).
-Distinct vectors and queries are grouped by their nearest pivot.  A query group is known by its
-pivot p, its radius R (largest distance of a member) and, from summaries of the data, a score
+Distinct vectors and queries are both grouped by their nearest pivot.  A query group is known by
+its pivot p, its radius R (largest distance of a member) and, from summaries of the data, a score
 that its members are sure to reach: every query q of the group has q.x >= p.x - R|x| for each
 data vector x, so the (k + 1)-th largest of these bounds over all data is a floor for the
-(k + 1)-th best score.  A vector goes to a group only if p.x + R|x| reaches that floor, and the
-groups are solved locally in blocks of bounded size; partial results of a query are merged by
-rank.  Nothing depends on the pivots but cost.
+(k + 1)-th best score.  A data cell is known by its pivot c, its radius r, its largest norm m and
+its size: no member can exceed p.c + |p|r + Rm in a group.  Cells that reach no group's floor are
+not read again; of the others a vector is wanted by a group only if p.x + R|x| reaches its floor.
+Neighbouring groups are packed into teams of at most ``block`` queries, and a vector goes once to
+each team that has a group wanting it, so that where bounds prune nothing it is copied once for
+each block of queries, not for each group.  Teams are solved locally in blocks of bounded size;
+partial results of a query are merged by rank.  Nothing depends on the pivots but cost.
 
 Components are floored to ``floor(scale * x)`` and scores are 64-bit integers; bounds are
-widened by rounding error, so that ties at the floor survive.
+widened by rounding error, so that ties at the floor survive.  A floored component of 2^53 or more,
+or a score that might not fit in 64 bits, is an error.
 
 Defined results: vectors that are null or hold a null or non-finite component take no part;
 vectors of different length are compared as if the shorter one ended in zeros; ties go to the
@@ -48,6 +53,8 @@ def _products(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     most = float(np.abs(a).max(initial=0)) * float(np.abs(b).max(initial=0)) * max(1, a.shape[1])
     if most < 2**53:
         return (a.astype(np.float64) @ b.T.astype(np.float64)).astype(np.int64)
+    if most >= 2**63:
+        raise OverflowError("inner products do not fit in 64 bits; use a smaller scale")
     return a @ b.T
 
 
@@ -62,8 +69,10 @@ def _quantised(vectors: DataFrame, key: str, vector: str, scale: float) -> DataF
         for column in batches:
             out = []
             for value in column.tolist():
-                whole = np.floor(scale * np.asarray(value, dtype=np.float64)).astype(np.int64)
-                out.append(np.trim_zeros(whole, "b").tobytes())
+                whole = np.floor(scale * np.asarray(value, dtype=np.float64))
+                if np.abs(whole).max(initial=0) >= 2**53:
+                    raise OverflowError("a component is too large to be exact; use a smaller scale")
+                out.append(np.trim_zeros(whole.astype(np.int64), "b").tobytes())
             yield pd.Series(out, dtype=object)
 
     run.__annotations__ = {"batches": Iterator[pd.Series], "return": Iterator[pd.Series]}
@@ -92,11 +101,12 @@ def _distinct(rows: DataFrame, most: int) -> DataFrame:
 
 
 class _Pivots:
-    """Bounded set of vectors that groups are formed around."""
+    """Bounded set of vectors that groups and cells are formed around."""
 
     def __init__(self, vectors: np.ndarray) -> None:
         self.p = vectors.astype(np.float64)
         self.half = (self.p**2).sum(1) / 2
+        self.norm = np.sqrt(2 * self.half)
 
     def nearest(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Nearest pivot of each row and the distance to it."""
@@ -111,6 +121,31 @@ class _Pivots:
         slack = 1 + 1e-9 * (np.abs(centre) + spread)
         return centre - spread - slack, centre + spread + slack
 
+    def reach(self, cell_radius: np.ndarray, cell_norm: np.ndarray, radius: np.ndarray) -> np.ndarray:
+        """Greatest inner product of any member of each cell (rows) with any query of each group."""
+        centre = self.p @ self.p.T
+        spread = cell_radius[:, None] * self.norm + cell_norm[:, None] * radius
+        return centre + spread + 1 + 1e-9 * (np.abs(centre) + spread)
+
+    def chain(self) -> list[int]:
+        """All pivots, each followed by the nearest that has not been listed."""
+        apart = self.half[:, None] + self.half - self.p @ self.p.T
+        order, rest = [0], set(range(1, len(self.p)))
+        while rest:
+            order.append(min(rest, key=lambda i: (apart[order[-1], i], i)))
+            rest.remove(order[-1])
+        return order
+
+
+def _teams(order: list[int], waiting: np.ndarray, block: int) -> np.ndarray:
+    """Team of each group: neighbours in ``order`` together, up to ``block`` queries."""
+    team, number, load = np.zeros(len(order), dtype=np.int64), 0, 0
+    for group in order:
+        if load and load + waiting[group] > block:
+            number, load = number + 1, 0
+        team[group], load = number, load + waiting[group]
+    return team
+
 
 def _spread(batch: pd.DataFrame, group: np.ndarray, columns: list[str]) -> pd.DataFrame:
     out = batch[columns].copy()
@@ -160,6 +195,22 @@ def top_k(
     for r in sizes.collect():  # one row for each pivot
         radius[r["group"]], waiting[r["group"]] = r["r"], r["n"]
 
+    # data by cell, with radius, largest norm and size of each cell
+    def settle(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            x = _matrix(batch["vec"], width)
+            cell, distance = centre.nearest(x)
+            norm = np.sqrt((x.astype(np.float64) ** 2).sum(1))
+            yield batch.assign(cell=cell, distance=distance, norm=norm)
+
+    data = data.mapInPandas(settle, "vec binary, ids array<long>, cell int, distance double, norm double")
+    data = stage(data, "cells")
+    cell_radius, cell_norm = np.zeros(groups), np.zeros(groups)
+    cell_size = np.zeros(groups, dtype=np.int64)
+    summary = data.groupBy("cell").agg(F.max("distance"), F.max("norm"), F.count("*"))
+    for cell, far, long, n in summary.collect():  # one row for each pivot
+        cell_radius[cell], cell_norm[cell], cell_size[cell] = far, long, n
+
     # floors: the (k + 1)-th largest lower bound of each group over all data
     def best_bounds(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         kept = np.empty((0, groups))
@@ -179,28 +230,35 @@ def top_k(
     ).collect():
         floors[r["group"]] = r["at"][0] if r["at"] else -np.inf
 
-    # each vector to the groups it can matter to
+    # each vector to the teams with a group it can matter to: cells first, then row by row
+    possible = (centre.reach(cell_radius, cell_norm, radius) >= floors) & (waiting > 0)
+    team = _teams(centre.chain(), waiting, block)
+    teams = int(team.max()) + 1
+    member = np.zeros((groups, teams))
+    member[np.arange(groups), team] = 1
+    live = [int(c) for c in np.flatnonzero(possible.any(1))]
+
     def send(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             _, upper = centre.bounds(_matrix(batch["vec"], width), radius)
-            at, group = np.nonzero((upper >= floors) & (waiting > 0))
-            out = batch.iloc[at].copy()
-            out["group"] = group
-            yield out
-
-    sent = data.mapInPandas(send, "vec binary, ids array<long>, group int")
-    counted = np.zeros(groups, dtype=np.int64)
-    for r in sent.groupBy("group").count().collect():
-        counted[r["group"]] = r["count"]
-    parts = np.maximum(1, -(-counted // block)).tolist()
-    turns = np.maximum(1, -(-waiting // block)).tolist()
-    per_group = lambda values: F.array(*[F.lit(int(v)) for v in values])[F.col("group")]
+            wanted = (upper >= floors) & possible[batch["cell"].to_numpy()]
+            at, to = np.nonzero(wanted @ member)
+            yield _spread(batch.iloc[at], to, ["vec", "ids"])
+
+    near = data.where(F.col("cell").isin(live)).select("vec", "ids", "cell")
+    sent = near.mapInPandas(send, "vec binary, ids array<long>, group int")
+    placed = placed.withColumn("group", F.array(*[F.lit(int(t)) for t in team])[F.col("group")])
+    # sizes of the cells a team may need bound what it gets
+    coming = ((possible @ member) > 0).T @ cell_size
+    parts = np.maximum(1, -(-coming // block)).tolist()
+    turns = np.maximum(1, -(-(waiting @ member).astype(np.int64) // block)).tolist()
+    per_team = lambda values: F.array(*[F.lit(int(v)) for v in values])[F.col("group")]
     hashed = F.xxhash64("vec")
-    left = sent.withColumn("part", F.pmod(hashed, per_group(parts)).cast("int")).withColumn(
-        "turn", F.explode(F.sequence(F.lit(0), per_group(turns) - 1))
+    left = sent.withColumn("part", F.pmod(hashed, per_team(parts)).cast("int")).withColumn(
+        "turn", F.explode(F.sequence(F.lit(0), per_team(turns) - 1))
     )
-    right = placed.withColumn("turn", F.pmod(hashed, per_group(turns)).cast("int")).withColumn(
-        "part", F.explode(F.sequence(F.lit(0), per_group(parts) - 1))
+    right = placed.withColumn("turn", F.pmod(hashed, per_team(turns)).cast("int")).withColumn(
+        "part", F.explode(F.sequence(F.lit(0), per_team(parts) - 1))
     )
 
     def solve(data_part: pd.DataFrame, query_part: pd.DataFrame) -> pd.DataFrame:

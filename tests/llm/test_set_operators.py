@@ -132,6 +132,37 @@ def test_top_k_matches_brute_force(spark, pivots, block):
     assert knn.top_k(frame.limit(0), F.lit(True)).count() == 0
 
 
+@pytest.mark.parametrize("clustered", [True, False])
+def test_top_k_sends_few_copies(spark, monkeypatch, clustered):
+    draw = np.random.default_rng(4)
+    centres = draw.normal(size=(8, 24)) * (6 if clustered else 0)
+    rows = [(i, (centres[i % 8] + draw.normal(size=24) * (0.05 if clustered else 1)).tolist()) for i in range(4000)]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    sent, spread = spark.sparkContext.accumulator(0), knn._spread
+
+    def counted(batch, group, columns):
+        if "ids" in columns:
+            sent.add(len(batch))
+        return spread(batch, group, columns)
+
+    monkeypatch.setattr(knn, "_spread", counted)
+    got = knn.top_k(frame, F.col("vec_id") % 20 == 0, k=5, pivots=16, block=50 if clustered else 4096).collect()
+    v = np.floor(1024 * np.array([r[1] for r in rows])).astype(int)
+    expected = {}
+    for q in range(0, 4000, 20):
+        score = v @ v[q]
+        expected[q] = sorted((-int(s), i) for i, s in enumerate(score) if i != q)[:5]
+    assert {(r[0], r[1], r[2], r[3]) for r in got} == {(q, n + 1, i, -s) for q, best in expected.items() for n, (s, i) in enumerate(best)}
+    # 200 queries are four teams of 50 or more, or one of 4,096
+    assert sent.value <= 4000 * 4 * (0.5 if clustered else 0.25)
+
+
+def test_top_k_refuses_what_does_not_fit(spark):
+    huge = spark.createDataFrame([(0, [1e300, 1.0]), (1, [1.0, 2.0])], "vec_id long, embedding array<double>")
+    with pytest.raises(Exception, match="too large to be exact"):
+        knn.top_k(huge, F.lit(True)).collect()
+
+
 def test_url_rules_match_a_loop(spark):
     draw = random.Random(8)
     hosts = ["org", "example.org", "a.example.org", "xexample.org", "com", "EXAMPLE.com", "b.a.example.org", ""]

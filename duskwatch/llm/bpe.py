@@ -20,7 +20,6 @@ from __future__ import annotations
 import json
 import re
 import unicodedata
-from functools import lru_cache
 
 import ahocorasick
 import regex
@@ -240,9 +239,12 @@ class WordBpe:
         return ids.count(" ") + 1 if words else 0, ids, decoded
 
 
-@lru_cache(maxsize=2)
 def load(path: str) -> WordBpe:
-    """The vocabulary at ``path``, read once by each Python worker."""
+    """The vocabulary at ``path``.
+
+    A task reads its own and lets go of it: Spark keeps more idle workers than it has cores, and a
+    vocabulary with the words met so far would stay in each of them beside the next stage's work.
+    """
     return WordBpe(path)
 
 

@@ -21,11 +21,12 @@ at most ``bucket`` nodes are paired within by a join.  Larger ones are not paire
 ``EXACT`` their nodes are linked through *centres*: two fingerprints differ in at most two bits
 just when some fingerprint is within one bit of both, so each sends itself to its 65 centres and
 is linked to the least node there - 65 rows a node, whatever the bucket's size, and nothing
-missed.  For ``SIMILAR`` their nodes are first compared with the bucket's least node; then pairs
-are made within small buckets, but not of nodes in one component, of which near copies of one
-text would make many.  A large bucket that all these links leave in several components is dealt
-to blocks, and every block is compared with every block, shingles included, again but for pairs
-that are in one component already.
+missed.  For ``SIMILAR`` their nodes are first compared with the bucket's least node; then nodes
+of small buckets are compared while they are joined, but for those in one component, and only
+close pairs leave the join: texts half alike share many buckets, and as rows their pairs would be
+most of the work.  A large bucket that all these links leave in several components is dealt to
+blocks, and every block is compared with every block, shingles included, again but for pairs that
+are in one component already.
 What leaves a comparison is a forest, so a crowd, alike or not, makes few rows; only components
 are asked for, so nothing is missed here either.
 
@@ -207,20 +208,25 @@ def _met(rows: DataFrame, largest: int) -> tuple[DataFrame, DataFrame]:
     return pairs, shared.where(F.col("n") > largest)
 
 
-def _apart(small: DataFrame, roots: DataFrame) -> DataFrame:
-    """Pairs a < b within buckets whose nodes ``roots`` (node, root) leaves in several components.
+def _apart(small: DataFrame, nodes: DataFrame, roots: DataFrame, scheme: Scheme) -> DataFrame:
+    """Close pairs (a, b, differing), a < b, of small buckets that ``roots`` (node, root) leaves apart.
 
-    Pairs within one component are not made: near copies of one text share many small buckets.
+    Fingerprints go with the rows of buckets in several components, so that the join on the bucket
+    decides: a pair that is not close, or is in one component, is never a row.
     """
     known = small.select("key", "node").join(roots, "node", "left")
     known = known.withColumn("root", F.coalesce("root", "node"))
     bucket = Window.partitionBy("key")  # of at most ``largest`` rows
     split = known.withColumns({"low": F.min("root").over(bucket), "high": F.max("root").over(bucket)})
     split = stage(split.where("low < high").select("key", "node", "root"), "split")
-    left = split.select("key", F.col("node").alias("a"), F.col("root").alias("x"))
-    right = split.select("key", F.col("node").alias("b"), F.col("root").alias("y"))
-    same = left.join(right, "key").where("a < b AND x != y")
-    return same.select("a", "b")
+    held = split.join(nodes.select("node", "print", "items"), "node")
+    left = held.select("key", F.col("root").alias("root_a"), *_side("a", "x"))
+    right = held.select("key", F.col("root").alias("root_b"), *_side("b", "y"))
+    differing = _differing(scheme)
+    close = left.join(right, "key").where(
+        F.expr("a < b AND root_a != root_b") & (differing <= scheme.distance)
+    )
+    return close.select("a", "b", differing.alias("differing")).distinct()
 
 
 def _through_centres(nodes: DataFrame, large: DataFrame) -> DataFrame:
@@ -246,13 +252,16 @@ def _alike(x: str, y: str) -> Column:
     return shared / (F.size(x) + F.size(y) - shared)
 
 
-def _verified(pairs: DataFrame, nodes: DataFrame, scheme: Scheme) -> DataFrame:
-    """Those distinct pairs whose fingerprints differ in at most ``distance`` bits, and how many.
+def _side(node: str, items: str) -> list[Column]:
+    """Columns of a node as ``_differing`` wants them on one side of a pair."""
+    return [F.col("node").alias(node), F.col("print").alias(f"print_{node}"), F.col("items").alias(items)]
+
+
+def _differing(scheme: Scheme) -> Column:
+    """Bits in which the fingerprints of a pair differ.
 
-    Two sets of few shingles are decided by these: no differing bits if they are alike.
+    Two sets of few shingles are decided by these: no differing bits if they are alike, else null.
     """
-    one = nodes.select(F.col("node").alias("a"), F.col("print").alias("print_a"), F.col("items").alias("x"))
-    two = nodes.select(F.col("node").alias("b"), F.col("print").alias("print_b"), F.col("items").alias("y"))
     differing = F.aggregate(
         F.zip_with("print_a", "print_b", lambda x, y: F.bit_count(x.bitwiseXOR(y))),
         F.lit(0),
@@ -262,8 +271,14 @@ def _verified(pairs: DataFrame, nodes: DataFrame, scheme: Scheme) -> DataFrame:
         few = F.col("x").isNotNull() & F.col("y").isNotNull()
         alike = F.when(_alike("x", "y") >= scheme.similarity, F.lit(0))
         differing = F.when(few, alike).otherwise(differing)
+    return differing
+
+
+def _verified(pairs: DataFrame, nodes: DataFrame, scheme: Scheme) -> DataFrame:
+    """Those distinct pairs whose fingerprints differ in at most ``distance`` bits, and how many."""
+    one, two = nodes.select(*_side("a", "x")), nodes.select(*_side("b", "y"))
     met = pairs.distinct().join(one, "a").join(two, "b")
-    return met.select("a", "b", differing.alias("differing")).where(
+    return met.select("a", "b", _differing(scheme).alias("differing")).where(
         F.col("differing") <= scheme.distance
     )
 
@@ -391,14 +406,14 @@ def _crowded(
     )
     cells = dealt.withColumns({"i": F.least("part", "other"), "j": F.greatest("part", "other")})
     sets = _sets(held.select("node").distinct(), nodes, texts, scheme)
+    members = nodes.select("node", "print").join(sets, "node")
 
     def solve(cell: pd.DataFrame) -> pd.DataFrame:
         return _cell_links(cell, scheme)
 
     return (
         cells.drop("other")
-        .join(nodes.select("node", "print"), "node")
-        .join(sets, "node")
+        .join(members, "node")
         .groupBy("key", "i", "j")
         .applyInPandas(solve, "a long, b long")
         .distinct()
@@ -424,7 +439,7 @@ def _similar_links(nodes: DataFrame, texts: DataFrame, scheme: Scheme, largest:
     stars = large.where("node > least").select(F.col("least").alias("a"), F.col("node").alias("b"))
     roots = components(_decided(_verified(stars, nodes, scheme), nodes, texts, scheme))
     forest = roots.select(F.col("root").alias("a"), F.col("node").alias("b"))
-    near = _decided(_verified(_apart(small, roots), nodes, scheme), nodes, texts, scheme)
+    near = _decided(_apart(small, nodes, roots, scheme), nodes, texts, scheme)
     roots = components(forest.union(near))
     links = roots.select(F.col("root").alias("a"), F.col("node").alias("b"))
     return links.union(_crowded(large, nodes, texts, roots, scheme))

@@ -93,6 +93,29 @@ def test_similar_scheme_links_a_crowd_to_its_original(spark):
     assert sum(g == original for g in group.values()) >= 0.95 * len(rows)
 
 
+def test_similar_scheme_makes_no_rows_of_pairs_half_alike(spark, monkeypatch):
+    asked, verified = [], simhash._verified
+
+    def counted(pairs, *rest):
+        asked.append(pairs.distinct().count())
+        return verified(pairs, *rest)
+
+    monkeypatch.setattr(simhash, "_verified", counted)
+    draw = random.Random(7)
+    rows = []
+    for n in range(150):  # four words changed: two of them are alike by 0.67, or 0.78 at most
+        words = [f"word{i}" for i in range(204)]
+        for at in draw.sample(range(5, 199, 5), 4):
+            words[at] = f"new{n}x{at}"
+        rows.append((2 * n, " ".join(words)))
+        if n % 3 == 0:
+            rows.append((2 * n + 1, " ".join(words + ["end"])))  # 0.995
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(8)
+    group = {r["doc_id"]: r["component_id"] for r in simhash.near_duplicates(docs, simhash.SIMILAR).collect()}
+    assert group == {n: n - n % 2 for n, _ in rows}
+    assert sum(asked) < 10 * len(rows)  # 7,371 pairs share a small bucket
+
+
 def test_similar_scheme_decides_few_shingles_by_themselves(spark):
     rows = []
     for n in range(300):

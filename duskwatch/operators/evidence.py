@@ -230,10 +230,12 @@ def url_counts(
         .agg(F.expr("count(1) AS hits"))
         .join(addresses.select("ip_address").distinct(), "ip_address", "left_semi")
     )
-    # numbers need be unique, and close together where bitmaps are to be full
+    # Numbers need be unique, and close together where bitmaps are to be full.  Domains are taken
+    # with their counts and null among them: a filter on domains would move to the scan, and counts
+    # that nobody asks for would go; either makes another shuffle and a second read of the log.
     numbers = (
-        per_domain.select("domain").where("domain IS NOT NULL").distinct()
-        .withColumn("number", F.monotonically_increasing_id() + 1)
+        per_domain.groupBy("domain").agg(F.expr("sum(hits) AS hits")).where("hits > 0")
+        .select("domain", (F.monotonically_increasing_id() + 1).alias("number"))
     )
     numbered = per_domain.join(numbers, "domain", "left").selectExpr(
         "ip_address",

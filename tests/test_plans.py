@@ -147,6 +147,16 @@ def test_proxy_log_is_read_once(spark):
     assert plan.count(EVENTS.rsplit("/", 2)[1] + "/events.parquet") == 1
 
 
+def test_proxy_log_is_read_once_where_plans_adapt(spark):
+    log = spark.read.parquet(EVENTS).selectExpr(
+        "ts AS date", "props AS ip_address", "nullif(CAST(user_id AS STRING), '7') AS domain",
+        "'Malware' AS url_category",
+    )
+    where = log.selectExpr("domain AS user", "'h' AS dest_hostname", "ip_address AS src_ip").distinct()
+    plan = executed(evidence.url_counts(stage(where, "where"), log, "2024-01-10"))
+    assert plan.count(EVENTS.rsplit("/", 2)[1] + "/events.parquet") == 1
+
+
 def test_building_runs_no_job(spark, events):
     tracker = spark.sparkContext.statusTracker()
     tables = scenario.tables(spark)

@@ -14,6 +14,12 @@ from duskwatch.functions.literals import column_type, quoted
 
 COARSE = 256  # stretches in which overlapping ranges are united
 GRAM = 3
+SIZES = (GRAM, 4, 5, 6, 8, 12, 16)  # of the pieces under which patterns are filed
+CROWD = 16  # patterns of a piece that are sent to its values, or more for long values
+PARTS = 16  # into which the values of a larger crowd are dealt
+STRETCH = 256  # characters of a value that are cut at a time
+WORDS = 1 << 18  # of 64 marks each, that tell which pieces can be filed
+BINARY = "UTF8_BINARY"
 _BREAK = "\x01"
 
 
@@ -123,42 +129,106 @@ def required_texts(pattern: Column) -> Column:
     return F.when(~unsafe & ~unread, pieces).otherwise(F.array().cast("array<string>"))
 
 
-def _grams(text: Column) -> Column:
-    places = F.sequence(F.lit(1), F.char_length(text) - (GRAM - 1))
-    found = F.array_distinct(F.transform(places, lambda i: F.substring(text, i, F.lit(GRAM))))
-    return F.when(F.char_length(text) >= GRAM, found).otherwise(F.array().cast("array<string>"))
+def _windows(text: Column, sizes: Column) -> Column:
+    """The substrings of a text that have one of the sizes, some of them repeated."""
+
+    def of(part: Column, size: Column) -> Column:
+        places = F.sequence(F.lit(1), F.char_length(part) - size + 1)
+        return F.transform(places, lambda i: F.substring(part, i, size))
+
+    def cut(part: Column) -> Column:
+        fitting = F.filter(sizes, lambda size: size <= F.char_length(part))
+        return F.flatten(F.transform(fitting, lambda size: of(part, size)))
+
+    # the place of a character is found by counting from the start, so long texts go by stretches
+    starts = F.sequence(F.lit(1), F.greatest(F.char_length(text), F.lit(1)), F.lit(STRETCH))
+    parts = F.transform(starts, lambda i: F.substring(text, i, F.lit(STRETCH + max(SIZES) - 1)))
+    return F.flatten(F.transform(parts, cut))
+
+
+def _word(gram: Column) -> Column:
+    return F.pmod(F.shiftright(F.xxhash64(gram), 6), F.lit(WORDS)).cast("int")
+
+
+def _bit(gram: Column) -> Column:
+    return F.xxhash64(gram).bitwiseAND(F.lit(63)).cast("int")
+
+
+def _marks(grams: DataFrame) -> Column:
+    """An array of ``WORDS`` longs in which the bit of each gram is set."""
+    one = F.call_function("shiftleft", F.lit(1).cast("long"), _bit(F.col("gram")))
+    none = grams.sparkSession.range(WORDS).select(F.col("id").cast("int"), F.lit(0).cast("long"))
+    words = grams.select(_word(F.col("gram")).alias("word"), one.alias("bits")).union(none)
+    words = words.groupBy("word").agg(F.bit_or("bits").alias("bits"))
+    ordered = F.array_sort(F.collect_list(F.struct("word", "bits")))
+    return words.agg(ordered.alias("words")).select(F.col("words.bits")).scalar()
+
+
+def filed_patterns(feed: DataFrame) -> DataFrame:
+    """(pattern, gram): each pattern that has ``needed`` texts under one piece of them.
+
+    Of each text only the longest pieces that ``SIZES`` allow are tried, since a value has far
+    fewer patterns by chance under a long piece than under a short one.  Pieces that up to ``CROWD``
+    patterns share count as equally rare, and the longest of them is taken; a pattern all of whose
+    pieces are commoner is filed under the one that fewest share.
+    """
+    sizes = F.array(*(F.lit(n) for n in SIZES))
+    pieces = feed.select("pattern", F.explode("needed").alias("piece"))
+    longest = F.slice(F.filter(sizes, lambda n: n <= F.char_length("piece")), -1, 1)
+    spread = pieces.select("pattern", F.explode(F.array_distinct(_windows(F.col("piece"), longest))).alias("gram"))
+    shares = spread.groupBy("gram").agg(F.count("*").alias("n"))
+    rank = F.struct(
+        F.when(F.col("n") > CROWD, F.col("n")).otherwise(0).alias("crowd"),
+        (-F.char_length("gram")).alias("size"), "n", "gram",
+    )
+    return spread.join(shares, "gram").groupBy("pattern").agg(F.min(rank)["gram"].alias("gram"))
 
 
 def matched_values(values: DataFrame, column: str, patterns: DataFrame, pattern: str = "pattern") -> DataFrame:
     """Distinct values of ``column`` that some regular expression of a table is found in.
 
-    Each pattern is filed under one group of ``GRAM`` characters that its matches must contain, the
-    one that fewest patterns share.  Values are cut into such groups and meet the
-    patterns filed there; only what meets is searched.  Patterns without such a text are tried
-    on every value.
+    Each pattern is filed under one piece of a text that its matches must contain.  Values are cut
+    into pieces of the sizes that occur and meet the patterns filed there; only what meets
+    is searched.  Where a piece has up to ``CROWD`` patterns they are sent to the values; the
+    values are sent to larger crowds and searched while they are joined, so that no list
+    of values times patterns is ever written.  Patterns without such a text are tried on every value.
     """
     name = quoted(column)
     texts = values.select(F.col(name).alias("value")).where("value IS NOT NULL").distinct()
-    feed = patterns.select(F.col(pattern).alias("pattern")).where("pattern IS NOT NULL").distinct()
-    feed = feed.withColumn("needed", required_texts(F.col("pattern")))
-    pieces = feed.select("pattern", F.explode("needed").alias("piece"))
-    spread = pieces.select("pattern", F.explode(_grams(F.col("piece"))).alias("gram"))
-    shares = spread.groupBy("gram").agg(F.count("*").alias("n"))
-    index = spread.join(shares, "gram").groupBy("pattern").agg(F.min(F.struct("n", "gram"))["gram"].alias("gram"))
-    cut = texts.select(F.xxhash64("value").alias("h"), F.explode(_grams(F.col("value"))).alias("gram"))
-    met = cut.join(index, "gram").select("h", "pattern").distinct()
-    found = (
-        texts.withColumn("h", F.xxhash64("value"))
-        .join(met, "h")
-        .where(F.expr("value RLIKE pattern"))
-        .select("value")
-    )
+    hashed = texts.withColumn("h", F.xxhash64("value"))
+    feed = patterns.select(F.col(pattern).alias("pattern")).where("pattern IS NOT NULL")
+    # searched once, so that a malformed pattern fails whatever it meets
+    feed = feed.where(F.regexp_instr(F.lit(""), F.col("pattern")) >= 0)
+    # an aggregate, below which no filter moves: all uses share one reading of the patterns
+    feed = feed.groupBy("pattern").agg(F.first(required_texts(F.col("pattern"))).alias("needed"))
+    index = filed_patterns(feed)
+    crowds = index.groupBy("gram").agg(F.count("*").alias("held"))
+    # values travel where they take less room than their patterns
+    limit = F.greatest(F.lit(CROWD), texts.agg(F.avg(F.char_length("value")) / CROWD).scalar())
+    few = F.when(F.col("held") <= limit, F.col("pattern"))
+    filed = index.join(crowds, "gram").select("gram", few.alias("pattern")).distinct()
+    sizes = index.agg(F.collect_set(F.char_length("gram"))).scalar()
+    pieces = F.array_distinct(_windows(F.col("value"), F.col("sizes")))
+    cut = hashed.withColumn("sizes", sizes).select("h", F.explode(pieces).alias("gram"))
+    # under other collations equal texts can differ in their hash, so all of them go on
+    if getattr(texts.schema["value"].dataType, "collation", BINARY) == BINARY:
+        cut = cut.where(F.getbit(F.get(_marks(crowds), _word(F.col("gram"))), _bit(F.col("gram"))) == 1)
+    met = hashed.join(cut.join(filed, "gram"), "h")
+    search = F.expr("value RLIKE pattern")
+    found = met.where(search).select("value")
+    shared = index.join(crowds.where(F.col("held") > limit), "gram").select("gram", "pattern")
+    shared = shared.withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(PARTS - 1))))
+    part = F.col("h").bitwiseAND(F.lit(PARTS - 1)).cast("int").alias("part")
+    sent = met.where("pattern IS NULL").select("value", "gram", part)
+    # numbered, so that few bytes are not united to one task: here the search is what takes time
+    sent = sent.repartition(int(values.sparkSession.conf.get("spark.sql.shuffle.partitions")), "gram", "part")
+    crowded = sent.join(shared, ["gram", "part"]).where(search).select("value")
     loose = feed.where(F.size("needed") == 0)
     # one row however many patterns; empty (not null) if all have a text of their own
     always = loose.agg(F.collect_list("pattern").alias("patterns")).scalar()
     searched = F.exists("always", lambda p: F.call_function("rlike", F.col("value"), p))
     tried = texts.withColumn("always", always).where(searched).select("value")
-    return found.union(tried).distinct().toDF(column)
+    return found.union(crowded).union(tried).distinct().toDF(column)
 
 
 def filter_column_by_pattern_table(

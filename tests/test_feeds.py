@@ -1,6 +1,7 @@
 """Values as tables, consecutive ids, stored moments and hand-offs written once."""
 
 import random
+import re
 import statistics
 from datetime import date, datetime, timedelta
 
@@ -134,6 +135,84 @@ def test_pattern_table_is_the_or_of_its_patterns(spark):
     assert matched_values(df.limit(0), "value", feed).count() == 0
 
 
+@pytest.fixture
+def unsent(spark):
+    """Joins as on tables that are too large to be sent to all tasks."""
+    key = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "-1")
+    yield
+    spark.conf.set(key, before)
+
+
+def shuffled_rows(df):
+    """Rows that the plan of a collected frame has dealt out, without those of subqueries."""
+
+    def walk(node):
+        kind = node.getClass().getSimpleName()
+        if kind.startswith("Reused"):
+            return 0
+        if kind == "AdaptiveSparkPlanExec":
+            return walk(node.executedPlan())
+        if kind.endswith("QueryStageExec"):
+            return walk(node.plan())
+        own = node.metrics().get("shuffleRecordsWritten").get().value() if kind == "ShuffleExchangeExec" else 0
+        return own + sum(walk(node.children().apply(i)) for i in range(node.children().size()))
+
+    return walk(df._jdf.queryExecution().executedPlan())
+
+
+def found_in(patterns, texts):
+    return sorted(t for t in set(texts) if any(re.search(p, t) for p in patterns))
+
+
+def test_patterns_meet_only_values_with_their_whole_text(spark, unsent):
+    draw = random.Random(6)
+    texts = ["".join(draw.choices("ab", k=16)) for _ in range(600)]  # any three letters are in most of them
+    patterns = [t[2:16] + "$" for t in texts[:200]] + ["".join(draw.choices("ab", k=14)) + "$" for _ in range(400)]
+    df = spark.createDataFrame([(t,) for t in texts], "value string")
+    feed = spark.createDataFrame([(p,) for p in patterns], "pattern string")
+    got = matched_values(df, "value", feed)
+    assert sorted(r["value"] for r in got.collect()) == found_in(patterns, texts)
+    assert shuffled_rows(got) < 25_000  # 510,992 with all pairs
+
+
+def test_patterns_that_share_their_only_text_are_not_listed_by_value(spark, unsent):
+    texts = [f"Clerk#{n:06d}" for n in range(1500)]
+    patterns = [f"Clerk#0*{n}$" for n in range(1, 100)] + [f"Clerk#0+{n}[05]?$" for n in range(1, 100)]
+    df = spark.createDataFrame([(t,) for t in texts], "value string")
+    feed = spark.createDataFrame([(p,) for p in patterns], "pattern string")
+    got = matched_values(df, "value", feed)
+    assert sorted(r["value"] for r in got.collect()) == found_in(patterns, texts)
+    assert shuffled_rows(got) < 50_000  # 615,155 with all pairs
+
+
+def test_values_of_any_length_meet_their_patterns(spark):
+    draw = random.Random(7)
+    texts = ["".join(draw.choices("abcdeé ", k=k)) for k in (0, 1, 2, 3, 5, 15, 16, 17, 255, 256, 257, 271, 272, 600, 1200) * 4]
+    parts = [t[i : i + k] for t in texts if len(t) > 200 for i in range(0, len(t), 97) for k in (3, 4, 7, 11, 16, 20)]
+    patterns = [p for p in parts if len(p) > 2] + ["é" * 9 + f"x{n}?" for n in range(40)] + ["^$"]
+    df = spark.createDataFrame([(t,) for t in texts + ["é" * 9] + ["a" * 600 + "é" * 9]], "value string")
+    for some in (patterns, patterns[4:5]):
+        feed = spark.createDataFrame([(p,) for p in some], "pattern string")
+        got = sorted(r["value"] for r in matched_values(df, "value", feed).collect())
+        assert got == found_in(some, texts + ["é" * 9, "a" * 600 + "é" * 9])
+
+
+def test_patterns_follow_the_collation(spark):
+    df = spark.createDataFrame([("xxABCDEFG",), ("abcdefg",), ("zz",)], "value string")
+    feed = spark.createDataFrame([("abcd",), ("def[gh]",)], "pattern string")
+    df, feed = (d.select(F.collate(d.columns[0], "UTF8_LCASE").alias(d.columns[0])) for d in (df, feed))
+    assert sorted(r["value"] for r in matched_values(df, "value", feed).collect()) == ["abcdefg", "xxABCDEFG"]
+
+
+def test_malformed_patterns_fail_whatever_they_meet(spark):
+    df = spark.createDataFrame([("abcx",)], "value string")
+    for pattern in ("*abcdefgh", "abc(", "abc[", "abcdefg{"):
+        with pytest.raises(Exception):
+            matched_values(df, "value", spark.createDataFrame([(pattern,)], "pattern string")).collect()
+
+
 def test_merged_moments_are_those_of_all_values(spark):
     draw = random.Random(5)
     rows = [(i % 3, i % 11, 1e9 + draw.gauss(0, 2) + i % 11) for i in range(3000)] + [(7, 0, None), (8, 1, 1e9)]
